@@ -24,8 +24,8 @@ from .common import arrow_limits, only, texts
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
-#: Encoded pre-tokens that a worker keeps between batches; beyond it starts anew.
-KEPT_WORDS = 300_000
+#: Encoded pre-tokens that a worker keeps between batches; beyond it only those that come again are carried on.
+KEPT_WORDS = 400_000
 #: Longer pre-tokens are encoded but not kept.
 KEPT_BYTES = 64
 
@@ -46,93 +46,136 @@ def tokens(path: str) -> list[bytes]:
     return out
 
 
-def replay(words: list[bytes], table: dict[bytes, int]) -> list[list[int]]:
+#: Stands after each word; no pair has it.
+_END = 0xFFFF
+
+
+class Merges:
+    """A vocabulary's ranks, and what each pair of tokens makes."""
+
+    def __init__(self, table: dict[bytes, int]):
+        self.table = table
+        #: left id << 16 | right id -> id of the token that both make together, for every such pair
+        self.pairs: dict[int, int] = {}
+        for token, rank in table.items():
+            for cut in range(1, len(token)):
+                left, right = table.get(token[:cut]), table.get(token[cut:])
+                if left is not None and right is not None:
+                    self.pairs[left << 16 | right] = rank
+        self.byte_ids = np.array([table.get(bytes([i]), _END) for i in range(256)], np.int64)
+        #: the same for pairs of bytes, -1 for none
+        self.of_bytes = np.array([[self.pairs.get(a << 16 | b, -1) for b in self.byte_ids.tolist()] for a in self.byte_ids.tolist()], np.int64)
+
+
+@cache
+def merges(path: str) -> Merges:
+    return Merges(ranks(path))
+
+
+def replay(words: list[bytes], known: Merges) -> list[list[int]]:
     """The token ids of each word, all words merged together in rank order.
 
-    A word that is itself a token becomes that token. Otherwise the pair with the
-    lowest rank merges first, the leftmost first among equals, as when each word is
-    encoded alone: a merge that makes a pair of lower rank hands the rest of its word
-    back to the queue, so that the lower pair is joined before them.
+    A word that is itself a token becomes that token. The bytes of all others lie in
+    one row of places, linked to their neighbours; the index has, for each rank, the
+    places where a pair makes that token. Ranks are taken from a queue, lowest first,
+    a word's leftmost place first, as when each word is encoded alone: a merge that
+    makes a pair of lower rank hands the rest of its word back to the queue.
     """
-    parts: list[list[bytes | None]] = []  # None: joined to the one before
-    after: list[list[int]] = []
-    prior: list[list[int]] = []
-    places: dict[int, list[tuple[int, int]]] = {}  # rank of the joined pair -> (word, position)
-    out: list[list[int] | None] = []
-    for word in words:
-        whole = table.get(word)
-        out.append(None if whole is None else [whole])
-        w = len(parts)
-        n = len(word) if whole is None else 0
-        parts.append([word[i : i + 1] for i in range(n)])
-        after.append(list(range(1, n + 1)))
-        prior.append(list(range(-1, n - 1)))
-        for i in range(n - 1):
-            if (rank := table.get(word[i : i + 2])) is not None:
-                places.setdefault(rank, []).append((w, i))
-    queue = list(places)
-    heapq.heapify(queue)
+    table, pairs = known.table, known.pairs
+    out: list[list[int] | None] = [None if (whole := table.get(w)) is None else [whole] for w in words]
+    split = [w for w, own in zip(words, out) if own is None]
+    if not split:
+        return out
+    data = np.frombuffer(b"\0".join(split) + b"\0", np.uint8)
+    sizes = np.array([len(w) for w in split], np.int64) + 1
+    ends = np.cumsum(sizes) - 1
+    ids = known.byte_ids[data]
+    ids[ends] = _END
+    made = np.append(known.of_bytes[data[:-1], data[1:]], -1)
+    made[ends] = made[np.maximum(ends - 1, 0)] = -1
+    made[ends[sizes == 1]] = -1
+    token, rank_at = ids.tolist(), made.tolist()
+    after, before = list(range(1, len(token) + 1)), list(range(-1, len(token) - 1))
+    token.append(_END)
+    before.append(len(token) - 2)
+    word_of = np.repeat(np.arange(len(split)), sizes).tolist()
+    order = np.argsort(made, kind="stable")
+    order = order[np.searchsorted(made[order], 0) :]
+    heads = np.flatnonzero(np.diff(made[order], prepend=-1))
+    index = dict(zip(made[order[heads]].tolist(), (x.tolist() for x in np.split(order, heads[1:])))) if len(order) else {}
+    queue = list(index)  # ascending, so already a heap
+    get = pairs.get
     while queue:
         rank = heapq.heappop(queue)
-        held = places.pop(rank, None)
-        if held is None:
-            continue
-        held.sort()
-        back: list[tuple[int, int]] = []
-        left_word = -1  # the word whose further places wait
-        for w, i in held:
-            if w == left_word:
-                back.append((w, i))
+        places = index.pop(rank)
+        places.sort()
+        back, waiting = [], -1
+        for i in places:
+            if rank_at[i] != rank:
+                continue  # since then one of its parts was joined elsewhere
+            if word_of[i] == waiting:
+                back.append(i)
                 continue
-            own, nxt, prv = parts[w], after[w], prior[w]
-            j = nxt[i]
-            if own[i] is None or j >= len(own):
-                continue  # a stale place: its left part is gone
-            both = own[i] + own[j]
-            if table.get(both) != rank:
-                continue  # a stale place: one of its parts has grown
-            own[i], own[j] = both, None
-            k = nxt[j]
-            nxt[i] = k
-            if k < len(own):
-                prv[k] = i
-            low = False
-            for a, b in ((prv[i], i), (i, k)):
-                if a >= 0 and b < len(own) and (new := table.get(own[a] + own[b])) is not None:
-                    if new in places:
-                        places[new].append((w, a))
-                    elif new == rank:
-                        back.append((w, a))
-                        low = True
+            j = after[i]
+            k = after[j]
+            p = before[i]
+            token[i], after[i], before[k], rank_at[j] = rank, k, i, -1
+            new = get(rank << 16 | token[k], -1)
+            rank_at[i] = new
+            if new >= 0:
+                if new in index:
+                    index[new].append(i)
+                else:
+                    index[new] = [i]
+                    heapq.heappush(queue, new)
+            if p >= 0:
+                low, new = new, get(token[p] << 16 | rank, -1)
+                rank_at[p] = new
+                if new >= 0:
+                    if new in index:
+                        index[new].append(p)
                     else:
-                        places[new] = [(w, a)]
+                        index[new] = [p]
                         heapq.heappush(queue, new)
-                    low |= new < rank
-            if low:
-                left_word = w
+                    if new < rank:
+                        waiting = word_of[i]
+                if 0 <= low < rank:
+                    waiting = word_of[i]
+            elif 0 <= new < rank:
+                waiting = word_of[i]
         if back:
-            places[rank] = back
+            index[rank] = back
             heapq.heappush(queue, rank)
-    return [ids if ids is not None else [table[p] for p in own if p is not None] for ids, own in zip(out, parts)]
+    found = iter(np.concatenate([[0], ends[:-1] + 1]).tolist())
+    for n, own in enumerate(out):
+        if own is None:
+            i, got = next(found), []
+            while token[i] != _END:
+                got.append(token[i])
+                i = after[i]
+            out[n] = got
+    return out
 
 
 class Encoder:
     """Encodes texts; keeps the ids of pre-tokens it has seen, as packed bytes."""
 
     def __init__(self, path: str, pattern: str):
-        self.table = ranks(path)
+        self.merges = merges(path)
         self.split = regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode_batch(self, batch: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
         if len(self.known) > KEPT_WORDS:
-            self.known = {}
+            self.known, self.older = {}, self.known
         pieces = [self.split(t) for t in batch]
-        fresh = {p for own in pieces for p in own if p not in self.known}
-        names = list(fresh)
-        found = replay([p.encode() for p in names], self.table)
-        known = self.known
+        known, older = self.known, self.older
+        fresh = {p for own in pieces for p in own if p not in known}
+        known.update((p, older[p]) for p in fresh if p in older)
+        names = [p for p in fresh if p not in older]
+        found = replay([p.encode() for p in names], self.merges)
         known.update(zip(names, (np.array(ids, "<u4").tobytes() for ids in found)))
         for own in pieces:
             yield np.frombuffer(b"".join(map(known.__getitem__, own)), "<u4")
