@@ -2,8 +2,9 @@
 
 All documents' ids, in ascending doc_id order, form one stream. Each file holds a
 contiguous run of it, cut into sequences of equal length: column `ids` is a
-fixed-size list of unsigned 32-bit integers, column `mask` a fixed-size list of bytes
-(1: an id, 0: padding after the last one). Sequence k of a file starts k * length ids
+fixed-size list of unsigned integers (16 bits where the vocabulary allows it, else
+32), column `mask` a fixed-size list of bits (set: an id, clear: padding after the
+last one). Sequence k of a file starts k * length ids
 after the file's own start, so it is found by arithmetic in a memory-mapped file.
 Beside it lies an index file with a row for each document: doc_id, start, n_tokens.
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -36,11 +38,15 @@ END_ID = 1
 SEQUENCE, BATCH_SEQUENCES = 2048, 32
 #: Bytes of text that a file is to hold, about.
 FILE_TEXT_BYTES = 24 << 20
-#: Chunks whose ids a worker keeps; beyond it starts anew. Longer chunks are not kept.
+#: Chunks whose ids a worker keeps; beyond it only those that come again are carried on. Longer chunks are not kept.
 KEPT_CHUNKS, KEPT_CHARS = 400_000, 64
 
-#: White space for the tokenizer too: it ends a word there, whatever follows.
+#: str.split() takes these for white space, the tokenizer does not.
+_SEPARATORS = regex.compile(r"[\x1c-\x1f]").search
+#: White space for both.
 _CHUNKS = regex.compile(r"[^ \t\n\r]+").findall
+#: Marks that end many chunks; after letters they are words of their own to the tokenizer.
+_MARKS = ".,!?:;"
 
 
 @cache
@@ -57,21 +63,33 @@ class Encoder:
 
     def __init__(self, path: str):
         self.path = path
+        self.id_type = "<u2" if _library(path).get_vocab_size() <= 1 << 16 else "<u4"
+        self.end = np.array([END_ID], self.id_type).tobytes()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _library_ids(self, chunks: list[str]) -> list[bytes]:
+        found = _library(self.path).encode_batch_fast(chunks, add_special_tokens=False)
+        kind = "H" if self.id_type == "<u2" else "I"
+        return [array(kind, e.ids).tobytes() for e in found]
 
     def __call__(self, batch: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers, the end id last."""
+        """Each text's ids, packed little-endian in id_type, the end id last."""
         if len(self.known) > KEPT_CHUNKS:
-            self.known = {}
-        known, pieces = self.known, [_CHUNKS(t) for t in batch]
-        fresh = list({p for own in pieces for p in own if p not in known})
-        found = _library(self.path).encode_batch_fast(fresh, add_special_tokens=False)
-        known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(fresh, found))
-        end = np.array([END_ID], "<u4").tobytes()
-        out = [b"".join(map(known.__getitem__, own)) + end for own in pieces]
-        for p in fresh:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        pieces = [_CHUNKS(t) if _SEPARATORS(t) else t.split() for t in batch]
+        fresh = {p for own in pieces for p in own if p not in known}
+        known.update((p, older[p]) for p in fresh if p in older)
+        fresh -= known.keys()
+        marked = {p: p[:-1] for p in fresh if p[-1] in _MARKS and p[:-1].isalpha()}
+        need = list(((fresh - marked.keys()) | {*marked.values()} | ({p[-1] for p in marked})) - known.keys())
+        known.update(zip(need, self._library_ids(need)))
+        known.update((p, known[word] + known[p[-1]]) for p, word in marked.items())
+        out = [b"".join(map(known.__getitem__, own)) + self.end for own in pieces]
+        for p in (*fresh, *need):
             if len(p) > KEPT_CHARS:
-                del known[p]
+                known.pop(p, None)
         return out
 
 
@@ -80,21 +98,9 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, ids (binary, little-endian unsigned 32-bit integers) of docs(doc_id, text); null text: empty."""
-    arrow_limits(docs.sparkSession)
-    path = path or public_tokenizers.path(VOCABULARY)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_encoder(path)(texts(batch.column(1))), pa.binary())], ["doc_id", "ids"])
-
-    return only(docs, "doc_id", "text").selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, "doc_id bigint, ids binary")
-
-
-def _layout(length: int) -> pa.Schema:
-    return pa.schema([pa.field("ids", pa.list_(pa.uint32(), length), False), pa.field("mask", pa.list_(pa.uint8(), length), False)])
+def _layout(length: int, id_type: str) -> pa.Schema:
+    kind = pa.uint16() if id_type == "<u2" else pa.uint32()
+    return pa.schema([pa.field("ids", pa.list_(kind, length), False), pa.field("mask", pa.list_(pa.bool_(), length), False)])
 
 
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -103,17 +109,18 @@ _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens",
 class _Writer:
     """One file and its index, written under a name of this attempt and moved when whole."""
 
-    def __init__(self, folder: str, part: int, length: int):
+    def __init__(self, folder: str, part: int, length: int, id_type: str):
         self.fs, root = pafs.FileSystem.from_uri(folder)
         self.names = [f"{root}/part-{part:06d}.{kind}.arrow" for kind in ("tokens", "index")]
         self.tries = [f"{root}/.try-{uuid.uuid4().hex}-{kind}" for kind in ("tokens", "index")]
-        self.length = length
+        self.length, self.id_type = length, id_type
+        self.layout = _layout(length, id_type)
         self.outs = [self.fs.open_output_stream(t) for t in self.tries]
-        self.data, self.index = ipc.new_file(self.outs[0], _layout(length)), ipc.new_file(self.outs[1], _INDEX)
+        self.data, self.index = ipc.new_file(self.outs[0], self.layout), ipc.new_file(self.outs[1], _INDEX)
         self.held, self.n_held, self.total = [], 0, 0
 
     def add(self, doc_ids: pa.Array, packed: list[bytes]) -> None:
-        sizes = np.array([len(x) // 4 for x in packed], np.int64)
+        sizes = np.array([len(x) for x in packed], np.int64) // np.dtype(self.id_type).itemsize
         starts = self.total + np.cumsum(sizes) - sizes
         self.index.write_batch(pa.RecordBatch.from_arrays([doc_ids, pa.array(starts), pa.array(sizes)], schema=_INDEX))
         self.held += packed
@@ -123,7 +130,7 @@ class _Writer:
             self._flush(last=False)
 
     def _flush(self, last: bool) -> None:
-        flat = np.frombuffer(b"".join(self.held), "<u4")
+        flat = np.frombuffer(b"".join(self.held), self.id_type)
         step = self.length * BATCH_SEQUENCES
         whole = len(flat) // step * step
         for at in range(0, whole, step):
@@ -135,10 +142,10 @@ class _Writer:
         self.held, self.n_held = [rest.tobytes()], len(rest)
 
     def _batch(self, ids: np.ndarray, room: int) -> None:
-        padded, mask = np.zeros(room, "<u4"), np.zeros(room, np.uint8)
-        padded[: len(ids)], mask[: len(ids)] = ids, 1
+        padded, mask = np.zeros(room, self.id_type), np.zeros(room, bool)
+        padded[: len(ids)], mask[: len(ids)] = ids, True
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (padded, mask)]
-        self.data.write_batch(pa.RecordBatch.from_arrays(lists, schema=_layout(self.length)))
+        self.data.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.layout))
 
     def close(self) -> int:
         self._flush(last=True)
@@ -159,23 +166,27 @@ def write_files(docs: DataFrame, folder: str, length: int = SEQUENCE, path: str
     spark = docs.sparkSession
     fs, root = pafs.FileSystem.from_uri(folder)
     fs.create_dir(root, recursive=True)
+    arrow_limits(spark)
+    path = path or public_tokenizers.path(VOCABULARY)
     weight = docs.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     parts = max(1, -(-weight // FILE_TEXT_BYTES), min(weight // (1 << 20), spark.sparkContext.defaultParallelism))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, part = None, 0
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        coder, writer, part = _encoder(path), None, 0
         for batch in batches:
             if batch.num_rows:
                 if writer is None:
                     part = batch.column(0)[0].as_py()
-                    writer = _Writer(folder, part, length)
-                writer.add(batch.column(1), batch.column(2).to_pylist())
+                    writer = _Writer(folder, part, length, coder.id_type)
+                writer.add(batch.column(1), coder(texts(batch.column(2))))
         if writer is not None:
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "n_tokens": pa.array([writer.close()], pa.int64())})
 
-    order = [F.col("doc_id").asc_nulls_first(), F.crc32("ids"), F.xxhash64("ids")]
-    dealt = encode(docs, path).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    written = dealt.select(F.spark_partition_id().cast("bigint").alias("part"), "doc_id", "ids").mapInArrow(run, "part bigint, n_tokens bigint")
+    docs = only(docs, "doc_id", "text").selectExpr("cast(doc_id as bigint) doc_id", "text", "xxhash64(text) same")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("same")]
+    dealt = docs.repartitionByRange(parts, *order).sortWithinPartitions(*order)  # texts move: they pack better than ids
+    written = dealt.select(F.spark_partition_id().cast("bigint").alias("part"), "doc_id", "text").mapInArrow(run, "part bigint, n_tokens bigint")
     rows = sorted(written.collect())  # a row for each file
     base, out = 0, []
     for part, n in rows:
@@ -204,7 +215,8 @@ class TokenFile:
     def sequence(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and mask of sequence k."""
         b, r = divmod(k, BATCH_SEQUENCES)
-        return tuple(c.flatten().to_numpy(zero_copy_only=True)[r * self.length : (r + 1) * self.length] for c in self.data.get_batch(b).columns)
+        ids, mask = (c.flatten()[r * self.length : (r + 1) * self.length] for c in self.data.get_batch(b).columns)
+        return ids.to_numpy(zero_copy_only=True), mask.to_numpy(zero_copy_only=False)  # bits become bytes
 
     def span(self, start: int, n: int) -> Iterator[np.ndarray]:
         """Ids start to start + n, in runs that lie together."""
@@ -233,7 +245,7 @@ def read_documents(files: DataFrame, folder: str) -> DataFrame:
                     for start, n in zip(starts.tolist(), sizes.tolist()):
                         crc = 0
                         for run_ in file.span(start, n):
-                            crc = zlib.crc32(run_, crc)
+                            crc = zlib.crc32(run_.astype("<u4"), crc)
                         sums.append(crc)
                     yield pa.RecordBatch.from_arrays([own.column(0), pa.array(starts + base), own.column(2), pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
