@@ -94,6 +94,29 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 ) WHERE rank <= 10
 """
 
+OP6_SQL = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{TRICKY}' UNION ALL SELECT -1, 1, 'assistant', '{TRICKY}'
+), o AS (
+  SELECT *, len({_WORDS.format("x")}) + 4 AS tokens, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, x) - 1 AS idx FROM t
+), w AS (
+  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 512 AS win,
+    length('<|im_start|>' || replace(replace(replace(r, '\', '\b'), '<|', '\l|'), chr(10), '\n') || chr(10) || replace(replace(x, '\', '\b'), '<|', '\l|') || '<|im_end|>' || chr(10)) AS n FROM o
+), f AS (SELECT conv_id, win, min(idx) AS first FROM w GROUP BY 1, 2 HAVING min(idx) > 0
+), c AS (
+  SELECT conv_id, sum(n) AS n FROM (
+    SELECT conv_id, n FROM w
+    UNION ALL SELECT w.conv_id, w.n FROM f JOIN w ON w.conv_id = f.conv_id AND w.idx BETWEEN f.first - 2 AND f.first - 1
+    UNION ALL SELECT w.conv_id, w.n FROM f JOIN w ON w.conv_id = f.conv_id AND f.first > 2 AND w.idx = 0 AND w.r = 'system'
+  ) GROUP BY 1
+), d AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(r || chr(10) || x || chr(10), '' ORDER BY idx) AS turns, coalesce(string_agg(x, '' ORDER BY idx) FILTER (WHERE r = 'assistant'), '') AS loss FROM w GROUP BY 1
+)
+SELECT d.conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(c.n AS BIGINT) AS formatted_chars
+FROM d JOIN c ON d.conv_id = c.conv_id
+"""
+
 OP7_SQL = rf"""
 WITH d AS (
   SELECT doc_id, source, CAST(len({_WORDS.format("coalesce(text, '')")}) AS BIGINT) AS size, md5(coalesce(text, '')) AS same, md5(concat_ws(':', '1', CAST(doc_id AS VARCHAR))) AS key FROM documents
@@ -121,4 +144,4 @@ SELECT doc_id, size, source_size, target, CAST(whole * size + least(size, greate
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_near_dup": OP2_SQL, "op5_top_k": OP5_SQL, "op7_mixing": OP7_SQL}
+    return {"op2_near_dup": OP2_SQL, "op5_top_k": OP5_SQL, "op6_chat": OP6_SQL, "op7_mixing": OP7_SQL}
