@@ -82,10 +82,18 @@ class Encoder:
         fresh = {p for own in pieces for p in own if p not in known}
         known.update((p, older[p]) for p in fresh if p in older)
         fresh -= known.keys()
-        marked = {p: p[:-1] for p in fresh if p[-1] in _MARKS and p[:-1].isalpha()}
-        need = list(((fresh - marked.keys()) | {*marked.values()} | ({p[-1] for p in marked})) - known.keys())
+        parts: dict[str, tuple[str, str]] = {}  # letters, in lower case where that is plain, and a mark
+        need: set[str] = set()
+        for p in fresh:
+            word, mark = (p[:-1], p[-1]) if p[-1] in _MARKS else (p, "")
+            if word.isalpha():
+                parts[p] = word.lower() if word.isascii() else word, mark
+                need.update(parts[p])
+            else:
+                need.add(p)
+        need = [p for p in need if p not in known]
         known.update(zip(need, self._library_ids(need)))
-        known.update((p, known[word] + known[p[-1]]) for p, word in marked.items())
+        known.update((p, known[word] + known[mark]) for p, (word, mark) in parts.items())
         out = [b"".join(map(known.__getitem__, own)) + self.end for own in pieces]
         for p in (*fresh, *need):
             if len(p) > KEPT_CHARS:
