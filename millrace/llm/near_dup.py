@@ -8,8 +8,9 @@ fixed random order of their own. Bands of six compressed registers make the buck
 Within a bucket documents are not paired all with all. Copies with equal shingle sets
 are one node. Each bucket has a pivot; its members are compared with the pivot, first
 by the collision-corrected estimate of the sketches, then on the full sets. Where a
-bucket still spans several components, a second round takes other pivots, and what
-then spans several components is compared pair by pair across components, in blocks.
+bucket still spans several components, a second round takes another pivot in each
+band, and what then spans several components is compared pair by pair across
+components, in blocks.
 So each pair that meets in a bucket is verified or already connected: links of
 different texts are lost only if no band of theirs agrees (below 1 in a million at
 the threshold) or if the estimate is more than five deviations low.
@@ -35,8 +36,8 @@ REGISTERS = BANDS * ROWS
 MANTISSA = 10
 #: Deviations of the estimate that a pair may lie under the threshold and still be verified.
 SLACK_DEVIATIONS = 5
-#: Pivot families: bands of a family choose the same pivot where they can.
-FAMILIES = 4
+#: Low bits of a bucket's key that hold its band; each band has pivots of its own in the second round.
+BAND_BITS = 6
 #: Members of a block in the comparison across components.
 BLOCK = 256
 #: Members that are verified against one copy of their pivot's set.
@@ -155,13 +156,13 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
 
 
 def band_keys(registers: np.ndarray) -> np.ndarray:
-    """registers: n x 288 -> n x 48 bucket keys; the last bits hold the band's pivot family."""
+    """registers: n x 288 -> n x 48 bucket keys; the last bits hold the band."""
     grouped = registers.reshape(len(registers), BANDS, ROWS).astype(np.uint64)
     with np.errstate(over="ignore"):
         key = np.tile(np.arange(BANDS, dtype=np.uint64) * np.uint64(_ODD), (len(registers), 1))
         for k in range(ROWS):
             key = mix64(key * np.uint64(_ODD) + grouped[:, :, k])
-    return ((key & np.uint64(_ALL ^ (FAMILIES - 1))) | (np.arange(BANDS, dtype=np.uint64) % np.uint64(FAMILIES))).astype(np.int64)
+    return ((key & np.uint64(_ALL ^ ((1 << BAND_BITS) - 1))) | np.arange(BANDS, dtype=np.uint64)).astype(np.int64)
 
 
 def estimated(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -209,9 +210,9 @@ def _bands(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "sketch").mapInArrow(run, "bucket bigint, node bigint")
 
 
-def _masks(round_: int) -> list[int]:
-    rng = np.random.default_rng(round_)
-    return [int(x) for x in rng.integers(0, 1 << 62, FAMILIES)]
+def _masks() -> list[int]:
+    """For each band a number; a bucket's pivot is the member whose id lies nearest to it, bit by bit."""
+    return [int(x) for x in np.random.default_rng(1).integers(0, 1 << 62, BANDS)]
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, floor: float) -> DataFrame:
@@ -349,7 +350,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     buckets = space.save(bands.join(sizes, "bucket"), "buckets")
     space.drop("bands")
 
-    links, tried, comp = None, None, None
+    tried, comp = None, None
     for round_ in range(3):
         # Members of the buckets that span more than one component, as far as is known.
         now = buckets
@@ -365,7 +366,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         if round_ == 0:
             pairs = _likely(now.where("least <> node").selectExpr("least a", "node b").distinct(), nodes, floor)
         elif round_ == 1:
-            mask = F.element_at(F.array(*(F.lit(m).cast("bigint") for m in _masks(round_))), (F.col("bucket").bitwiseAND(FAMILIES - 1) + 1).cast("int"))
+            mask = F.element_at(F.array(*(F.lit(m).cast("bigint") for m in _masks())), (F.col("bucket").bitwiseAND((1 << BAND_BITS) - 1) + 1).cast("int"))
             coded = now.withColumn("mask", mask).withColumn("code", F.col("node").bitwiseXOR(F.col("mask")))
             best = coded.groupBy("bucket").agg(F.min("code").alias("best"))
             pairs = coded.join(best, "bucket").withColumn("pivot", F.col("best").bitwiseXOR(F.col("mask"))).where("pivot <> node")
@@ -381,7 +382,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         sets = _sets_of(docs, nodes, pairs.selectExpr("a node").unionAll(pairs.selectExpr("b node")).distinct(), words, space, f"sets-{round_}")
         good = space.save(_verified(pairs, sets, percent), f"links-{round_}")
         space.drop(f"sets-{round_}")
-        links = good if links is None else links.unionAll(good)
+        # What is connected already stands as one link from each node to its component.
+        links = good if comp is None else good.unionAll(comp.selectExpr("node a", "component b"))
         both = pairs.unionAll(pairs.selectExpr("b a", "a b"))
         tried = both if tried is None else tried.unionAll(both)
         comp = components(links, space, f"comp-{round_}")
