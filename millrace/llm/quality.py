@@ -111,8 +111,8 @@ class View:
         own += [x[:, k].astype(int) for k in range(self.n, x.shape[1])]
         return np.stack(own, 1) + self.offsets[:-1] if len(x) else np.zeros((0, len(self.sizes)), int)
 
-    def fit(self, codes: np.ndarray, y: np.ndarray, rounds: int = 12) -> None:
-        """Newton steps on the log loss; both classes weigh as they come."""
+    def fit(self, codes: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 12) -> None:
+        """Newton steps on the log loss; each row counts by its weight."""
         x = np.zeros((len(codes), self.offsets[-1] + 1))
         np.put_along_axis(x, codes, 1.0, 1)
         x[:, -1] = 1
@@ -121,8 +121,8 @@ class View:
         ridge[-1] = 1e-6
         for _ in range(rounds):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            h = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge)
-            step = np.linalg.solve(h, x.T @ (p - y) + ridge * w)
+            h = (x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge)
+            step = np.linalg.solve(h, x.T @ (weight * (p - y)) + ridge * w)
             w -= step
             if np.abs(step).max() < 1e-6:
                 break
@@ -131,14 +131,14 @@ class View:
     def raw(self, codes: np.ndarray) -> np.ndarray:
         return self.weights[codes].sum(1) + self.weights[-1]
 
-    def calibrate(self, codes: np.ndarray, y: np.ndarray) -> None:
+    def calibrate(self, codes: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
         """Slope and shift of the raw score that suit rows it has not learnt from."""
         z = self.raw(codes)
         x, w = np.stack([z, np.ones(len(z))], 1), np.array([1.0, 0.0])
         for _ in range(25):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            h = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag([1e-2, 1e-2])
-            w -= np.linalg.solve(h, x.T @ (p - y) + 1e-2 * (w - [1, 0]))
+            h = (x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag([1e-2, 1e-2])
+            w -= np.linalg.solve(h, x.T @ (weight * (p - y)) + 1e-2 * (w - [1, 0]))
         self.slope, self.shift = max(0.0, float(w[0])), float(w[1])
 
     def logit(self, codes: np.ndarray) -> np.ndarray:
@@ -161,44 +161,53 @@ class Judge:
         return tuple(1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in (both, *own))
 
 
-def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, fold: np.ndarray, pool_a: np.ndarray, pool_b: np.ndarray) -> Judge:
-    """y: 1, 0; fold: rows kept for calibration."""
+def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, fold: np.ndarray, pool_a: np.ndarray, pool_b: np.ndarray, counts: tuple[float, float] = (1.0, 1.0)) -> Judge:
+    """y: 1, 0; fold: rows kept for calibration; counts: rows that one of class 0 and one of class 1 stand for."""
     if len(y) == 0 or y.min() == y.max():
         return Judge(None, None, 0.0 if not len(y) else 3.0 if y[0] else -3.0)
+    weight = np.where(y == 1, counts[1], counts[0])
+    weight = weight / weight.mean()  # as many rows as there are, in the classes' own shares
+    share = float((weight * y).mean())
     every = [np.concatenate([a, pool_a]), np.concatenate([b, pool_b])]
     views = [View(every[0], 0), View(every[1], 2)]
     learn = ~fold if len(set(y[~fold])) == 2 and len(set(y[fold])) == 2 else np.ones(len(y), bool)
     known = [v.codes(x) for v, x in zip(views, (a, b))]
     pool = [v.codes(x) for v, x in zip(views, (pool_a, pool_b))]
-    codes, marks = [known[0][learn], known[1][learn]], [y[learn], y[learn]]
+    codes, marks, weights = [known[0][learn], known[1][learn]], [y[learn], y[learn]], [weight[learn], weight[learn]]
     free = [np.ones(len(pool_a), bool), np.ones(len(pool_a), bool)]
     for _ in range(ROUNDS):
-        for v, c, m in zip(views, codes, marks):
-            v.fit(c, m)
+        for v, c, m, u in zip(views, codes, marks, weights):
+            v.fit(c, m, u)
         for k, other in ((0, 1), (1, 0)):  # k labels for the other
             p = 1 / (1 + np.exp(-views[k].raw(pool[k])))
             for sure, mark in ((p, 1.0), (1 - p, 0.0)):
-                share = y.mean() if mark else 1 - y.mean()
+                part = share if mark else 1 - share
                 can = np.flatnonzero(free[other] & (sure >= SURE))
-                take = can[np.argsort(-sure[can], kind="stable")[: int(GIVES * len(p) * share) + 1]]
+                take = can[np.argsort(-sure[can], kind="stable")[: int(GIVES * len(p) * part) + 1]]
                 free[other][take] = False
                 codes[other] = np.concatenate([codes[other], pool[other][take]])
                 marks[other] = np.concatenate([marks[other], np.full(len(take), mark)])
-    for v, c, m, own in zip(views, codes, marks, known):
-        v.fit(c, m)
-        v.calibrate(own[~learn] if not learn.all() else own, y[~learn] if not learn.all() else y)
-    share = y.mean()
+                weights[other] = np.concatenate([weights[other], np.ones(len(take))])
+    rest = ~learn if not learn.all() else learn
+    for v, c, m, u, own in zip(views, codes, marks, weights, known):
+        v.fit(c, m, u)
+        v.calibrate(own[rest], y[rest], weight[rest])
     return Judge(*views, float(np.log(share / (1 - share))))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Judge:
-    """Learns from labels(doc_id, quality) of rows that are not held out, and from unlabelled rows of docs."""
+    """Learns from labels(doc_id, quality) of rows that are not held out, and from unlabelled rows of docs.
+
+    Each class may fill half of LABELLED; its rows then count for all of their class.
+    """
     arrow_limits(docs.sparkSession)
     space = Workspace(docs.sparkSession, "quality")
     docs = only(docs, "doc_id", "text", "lang", "source").where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     marks = only(labels, "doc_id", "quality").where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("bigint").alias("_id")).agg(F.min("quality").cast("double").alias("y"))
     order = [F.xxhash64("_id", F.lit(3)), F.col("_id")]
     own = marks.where(~is_held_out(F.col("_id")))
+    totals = {r.y: r.n for r in own.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    counts = tuple(max(1.0, totals.get(k, 0) / (LABELLED // 2)) for k in (0.0, 1.0))
     parts = [own.where(F.col("y") == k).orderBy(*order).limit(LABELLED // 2) for k in (0.0, 1.0)]
     ids = docs.select(F.col("doc_id").alias("_id")).distinct()
     free = ids.join(marks.select("_id"), "_id", "left_anti").orderBy(*order).limit(POOL).withColumn("y", F.lit(-1.0))
@@ -217,7 +226,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Judge:
     y, fold = rows["y"].to_numpy(), np.array([zlib.crc32(b"%d" % i) // 3 % 4 == 0 for i in rows["id"]], bool)
     space.drop("chosen")
     know = y >= 0
-    return co_train(a[know], b[know], y[know], fold[know], a[~know], b[~know])
+    return co_train(a[know], b[know], y[know], fold[know], a[~know], b[~know], counts)
 
 
 def score(docs: DataFrame, judge: Judge) -> DataFrame:

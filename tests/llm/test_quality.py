@@ -38,3 +38,28 @@ def test_held_out_accuracy_and_edges(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert [r.score for r in q.classify(odd, none).collect()] == [0.5] * 4
     assert q.classify(odd.limit(0), none).count() == 0
+
+
+def test_capped_classes_keep_their_shares(spark, monkeypatch):
+    """A sample with as many poor as good rows must not move the scores of a table that is mostly good."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    whole = q.train(docs, labels)
+    monkeypatch.setattr(q, "LABELLED", 600)
+    capped = q.train(docs, labels)
+    assert whole.prior > 1.5 and abs(capped.prior - whole.prior) < 0.05
+
+
+def test_weights_restore_log_odds():
+    """Measures that tell little: scores of a capped and weighted sample are those of all rows."""
+    rng = np.random.default_rng(3)
+    y = (rng.random(12_000) < 0.86).astype(float)
+    a = (rng.normal(size=(len(y), q.N_CONTENT)) + y[:, None] * 0.2).astype(np.float32)
+    b = np.hstack([rng.normal(size=(len(y), q.N_META)) + y[:, None] * 0.2, rng.integers(0, 64, (len(y), 2))]).astype(np.float32)
+    fold, none = np.arange(len(y)) % 4 == 0, np.zeros(0, int)
+    every = q.co_train(a, b, y, fold, a[none], b[none])
+    n = int((y == 0).sum())
+    pick = np.concatenate([np.flatnonzero(y == 0), np.flatnonzero(y == 1)[:n]])
+    capped = q.co_train(a[pick], b[pick], y[pick], fold[pick], a[none], b[none], (1.0, float((y == 1).sum()) / n))
+    kept = [(j.scores(a, b)[0] >= q.THRESHOLD).mean() for j in (every, capped)]
+    assert abs(kept[0] - kept[1]) < 0.04
