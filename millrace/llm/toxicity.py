@@ -1,10 +1,11 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A text's terms are its distinct words and the beginnings of its words, hashed. Terms
-that are commoner in the toxic texts of the labelled sample, beyond chance, are kept;
-the machine learns a weight for each and, through short factor vectors, one for each
-pair, so that two terms may weigh more (or less) together than apart. Both classes
-weigh the same in training, whatever their numbers.
+A text's terms are its distinct words and the beginnings of its words, hashed. The
+machine learns a weight for each term that has enough rows and, through short factor
+vectors, one for each pair, so that two terms may weigh more (or less) together than
+apart. Terms alike in both classes have factors like all others; only their own weights
+are held back the more, the less their counts differ. Both classes weigh the same in
+training, whatever their numbers.
 """
 
 from __future__ import annotations
@@ -26,10 +27,14 @@ BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6)
 #: Most labelled rows that are learnt from, chosen by hash.
 SAMPLE = 20_000
-#: Most terms that the machine has weights for, and the least rows and z-score of one.
-ACTIVE, LEAST_ROWS, LEAST_Z = 4096, 3, 4.0
-#: Length of a factor vector; passes over the sample with weights alone, then with factors too; step; penalties.
-FACTORS, ALONE, EPOCHS, STEP, L1, L2 = 6, 50, 70, 0.3, 2e-5, 1e-3
+#: The least rows of a term, and the z-score, either way, from which its weight is learnt first and is not held back.
+LEAST_ROWS, CLEAR_Z = 3, 4.0
+#: How fast the pull on a weight grows as its z-score falls below that, and where the z-score stops to count.
+PULL, LEAST_Z = 8, 0.5
+#: Length of a factor vector; passes over the sample with clear terms' weights, with all weights, then with factors too.
+FACTORS, CLEAR, ALONE, EPOCHS = 6, 20, 30, 50
+#: Steps of weights and of factors, what their squared gradients start from; penalties; rows of a step.
+STEP, FACTOR_STEP, FROM, FACTOR_FROM, L1, L2, ROWS = 0.3, 0.1, 1e-6, 1e-2, 2e-5, 1e-3, 256
 #: A score from which on a document counts as toxic.
 THRESHOLD = 0.7
 #: Words whose terms a worker keeps; beyond it starts anew.
@@ -75,58 +80,89 @@ class Machine:
 
     def raw(self, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Scores before the sigmoid; flat holds the rows' term indices, each row from its start on."""
-        padded = np.append(flat, len(self.weights)).astype(np.int64)  # a term of no weight, so that no row's run is at the end
-        w, v = np.append(self.weights, 0.0), np.vstack([self.factors, np.zeros(self.factors.shape[1])])
-        own = v[padded]
-        linear, total, squares = (np.add.reduceat(x, starts, axis=0) for x in (w[padded], own, own * own))
-        out = self.bias + linear + 0.5 * (total * total - squares).sum(1)
-        empty = np.append(starts[1:], len(flat)) == starts
-        out[empty] = self.bias
+        out = np.full(len(starts), float(self.bias))
+        full = np.append(starts[1:], len(flat)) > starts
+        if full.any():
+            at = starts[full]
+            squares = np.einsum("ij,ij->i", self.factors, self.factors, dtype=np.float64)
+            out[full] += np.add.reduceat((self.weights - 0.5 * squares)[flat], at)
+            for own in self.factors.T:
+                out[full] += 0.5 * np.add.reduceat(own[flat].astype(np.float64), at) ** 2
         return out
 
     def scores(self, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.raw(flat, starts), -30, 30)))
 
 
+class _Step:
+    """Rows of one training step; their terms are numbered anew, so that sums over rows and over terms are short runs."""
+
+    def __init__(self, rows: list[np.ndarray], labels: np.ndarray, each: np.ndarray):
+        self.labels, self.each, self.n = labels, each / len(rows), len(rows)
+        sizes = np.array([len(r) for r in rows])
+        self.full = np.flatnonzero(sizes)
+        self.starts = (np.cumsum(sizes) - sizes)[self.full]
+        self.terms, where = np.unique(np.concatenate(rows), return_inverse=True)
+        order = np.argsort(where, kind="stable")
+        self.rows = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)[order]
+        self.runs = np.searchsorted(where[order], np.arange(len(self.terms)))
+        self.where = where.astype(np.int32)
+
+    def by_row(self, x: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.n, np.float32)
+        if len(self.full):
+            out[self.full] = np.add.reduceat(x[self.where], self.starts)
+        return out
+
+    def by_term(self, x: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(x[self.rows], self.runs) if len(self.runs) else np.zeros(0, np.float32)
+
+
+def _z_scores(rows: list[np.ndarray], labels: np.ndarray, n_terms: int) -> np.ndarray:
+    """By how much each term is commoner in class 1 than in class 0, in standard errors."""
+    n0, n1 = (sum((np.bincount(rows[i], minlength=n_terms) for i in np.flatnonzero(labels == k)), np.zeros(n_terms)) for k in (0, 1))
+    all0, all1 = (labels == 0).sum(), (labels == 1).sum()
+    p = (n0 + n1) / len(labels)
+    return (n1 / all1 - n0 / all0) / np.sqrt(p * (1 - p) * (1 / all0 + 1 / all1) + 1e-12)
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, n_terms: int, seed: int = 7) -> Machine:
     """Learns by Adagrad on the log loss, with an L1 pull on weights and L2 on factors."""
     rng = np.random.default_rng(seed)
     share = labels.mean()
-    each = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
-    w, v, b = np.zeros(n_terms), np.zeros((n_terms, FACTORS)), 0.0
-    gw, gv, gb = np.full(n_terms, 1e-6), np.full((n_terms, FACTORS), 1e-6), 1e-6
+    each = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
+    z = np.abs(_z_scores(rows, labels, n_terms))
+    pull = (L1 * np.maximum(1, CLEAR_Z / np.maximum(z, LEAST_Z)) ** PULL).astype(np.float32)
+    order = rng.permutation(len(rows))
+    steps = [_Step([rows[i] for i in pick], labels[pick].astype(np.float32), each[pick]) for pick in (order[at : at + ROWS] for at in range(0, len(order), ROWS))]
+    w, v, b = np.zeros(n_terms, np.float32), np.zeros((FACTORS, n_terms), np.float32), 0.0
+    gw, gv, gb = np.full(n_terms, FROM, np.float32), np.full((FACTORS, n_terms), FACTOR_FROM, np.float32), FROM
     for epoch in range(EPOCHS):
-        order = rng.permutation(len(rows))
         if epoch == ALONE:  # single terms first, so that pairs hold only what is theirs
-            v = rng.normal(0, 0.01, (n_terms, FACTORS))
-        for at in range(0, len(order), 256):
-            pick = order[at : at + 256]
-            sizes = np.array([len(rows[i]) for i in pick])
-            flat = np.concatenate([rows[i] for i in pick]).astype(np.int64)
-            starts = np.cumsum(sizes) - sizes
-            seg = np.repeat(np.arange(len(pick)), sizes)
-            own = v[flat]
-            m = Machine(b, w, v)
-            err = (m.scores(flat, starts) - labels[pick]) * each[pick]
-            db = err.mean()
+            v = rng.normal(0, 0.01, (FACTORS, n_terms)).astype(np.float32)
+        for k in rng.permutation(len(steps)):
+            s = steps[k]
+            raw = b + s.by_row(w[s.terms])
+            if epoch >= ALONE:
+                own = v[:, s.terms]
+                total = np.stack([s.by_row(x) for x in own])
+                raw += 0.5 * ((total * total).sum(0) - s.by_row((own * own).sum(0)))
+            err = ((1 / (1 + np.exp(-np.clip(raw, -30, 30))) - s.labels) * s.each).astype(np.float32)
+            db = float(err.sum())
             gb += db * db
             b -= STEP * db / gb**0.5
-            terms, where = np.unique(flat, return_inverse=True)
-            dw = np.bincount(where, err[seg], len(terms)) / len(pick)
-            gw[terms] += dw * dw
-            rate = STEP / np.sqrt(gw[terms])
-            stepped = w[terms] - rate * dw
-            w[terms] = np.sign(stepped) * np.maximum(0, np.abs(stepped) - np.minimum(rate, 1.0) * L1)
+            each_term = s.by_term(err)
+            dw = each_term if epoch >= CLEAR else each_term * (z[s.terms] >= CLEAR_Z)
+            gw[s.terms] += dw * dw
+            rate = STEP / np.sqrt(gw[s.terms])
+            stepped = w[s.terms] - rate * dw
+            w[s.terms] = np.sign(stepped) * np.maximum(0, np.abs(stepped) - np.minimum(rate, 1.0) * pull[s.terms])
             if epoch < ALONE:
                 continue
-            total = np.zeros((len(pick), FACTORS))
-            np.add.at(total, seg, own)
-            dv = np.zeros((len(terms), FACTORS))
-            np.add.at(dv, where, err[seg, None] * (total[seg] - own) / len(pick))
-            dv += L2 * v[terms]
-            gv[terms] += dv * dv
-            v[terms] -= STEP * dv / np.sqrt(gv[terms])
-    return Machine(b, w, v)
+            dv = np.stack([s.by_term(err * x) for x in total]) - own * each_term + L2 * own
+            gv[:, s.terms] += dv * dv
+            v[:, s.terms] -= FACTOR_STEP * dv / np.sqrt(gv[:, s.terms])
+    return Machine(b, w, np.ascontiguousarray(v.T))
 
 
 def _sample(docs: DataFrame, labels: DataFrame, space: Workspace) -> DataFrame:
@@ -174,20 +210,17 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, int], Machine]:
     n0, n1 = totals.get(0.0, 0), totals.get(1.0, 0)
     if not n0 or not n1:
         return {}, Machine(3.0 if n1 else -3.0 if n0 else 0.0, np.zeros(0), np.zeros((0, FACTORS)))
-    p = (F.col("n0") + F.col("n1")) / (n0 + n1)
-    z = (F.col("n1") / n1 - F.col("n0") / n0) / F.sqrt(p * (1 - p) * (1 / n0 + 1 / n1))
-    least = F.lit(LEAST_ROWS)
-    ranked = _counts(sample).where(((F.col("n0") + F.col("n1")) >= least) & (p < 1) & (z >= LEAST_Z)).orderBy(z.desc(), "term").limit(ACTIVE).collect()
-    chosen = {r.term: k for k, r in enumerate(ranked)}
+    common = _counts(sample).where(((F.col("n0") + F.col("n1")) >= LEAST_ROWS) & ((F.col("n0") + F.col("n1")) < n0 + n1)).select("term").toPandas()  # BUCKETS rows at most
+    chosen = {t: k for k, t in enumerate(sorted(common["term"].tolist()))}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [[chosen[t] for t in np.frombuffer(x, np.uint32).tolist() if t in chosen] for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))], ["label", "same", "terms"])
+            out = [np.array([chosen[t] for t in np.frombuffer(x, np.uint32).tolist() if t in chosen], np.int32).tobytes() for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["label", "same", "terms"])
 
-    rows = sample.mapInArrow(run, "label double, same bigint, terms array<int>").toPandas()  # SAMPLE rows of chosen terms
+    rows = sample.mapInArrow(run, "label double, same bigint, terms binary").toPandas()  # SAMPLE rows of chosen terms
     rows = rows.sort_values(["same", "label"])  # the same order in each run
-    machine = fit([np.asarray(t, np.int64) for t in rows["terms"]], rows["label"].to_numpy(), len(chosen))
+    machine = fit([np.frombuffer(t, np.int32) for t in rows["terms"]], rows["label"].to_numpy(), len(chosen))
     space.drop("chosen", "sample")
     return chosen, machine
 

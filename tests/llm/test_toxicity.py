@@ -48,3 +48,20 @@ def test_without_labels(spark):
     odd = spark.createDataFrame([(1, None), (None, 1), (3, 7)], "doc_id long, toxic int")
     assert tx.classify(docs, odd).collect()[0].score == 0.5
     assert tx.classify(docs.limit(0), none).count() == 0
+
+
+def test_toxic_only_as_a_pair(spark):
+    """Two words, each as common in toxic as in clean texts: both or neither is toxic, one alone is clean."""
+    rng = np.random.default_rng(1)
+    rows = []
+    for i in range(5000):
+        toxic, first = rng.random() < 0.3, rng.random() < 0.5
+        second = first if toxic else not first
+        own = [f"w{k}" for k in rng.integers(0, 200, 10)] + ["marigold"] * first + ["thunder"] * second
+        rows.append((i, " ".join(own), int(toxic), second and first))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = tx.train(docs, spark.createDataFrame([(r[0], r[2]) for r in rows[:4000]], "doc_id long, toxic int"))
+    got = {r.doc_id: r.score for r in tx.score(docs, *model).collect()}
+    pairs, single = ([got[i] for i, _, toxic, both in rows[4000:] if toxic == k and both == k] for k in (1, 0))
+    assert len(pairs) > 100 and len(single) > 500
+    assert np.mean(np.array(pairs) >= tx.THRESHOLD) > 0.9 and np.mean(np.array(single) >= tx.THRESHOLD) < 0.02
