@@ -248,6 +248,17 @@ def redact_values(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", R.redact(F.expr(_SECRETS)).alias("safe"))
 
 
+_WHOLE_SECRETS = _SECRETS.replace("substr(text, 1, 200)", "text")
+
+
+@query(
+    "SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '(password|passwd|pwd)\\s*[=:]\\s*\\S+', '[REDACTED]', 'gi'), '(secret|token|key)\\s*[=:]\\s*\\S+', '[REDACTED]', 'gi'), "
+    f"'bearer\\s+[a-zA-Z0-9._~+/-]+=*', '[REDACTED]', 'gi'), 'basic\\s+[a-zA-Z0-9+/]+=*', '[REDACTED]', 'gi') AS safe FROM (SELECT doc_id, {_WHOLE_SECRETS} AS t FROM documents)"
+)
+def redact_whole_texts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", R.redact(F.expr(_WHOLE_SECRETS)).alias("safe"))
+
+
 _NAMES = ["user_password", "access_token", "api_key", "SECRET", "auth_header", "credentials", "passwd", "username", "email", "name", "id"]
 
 
@@ -595,6 +606,14 @@ def rotation_file_count(spark, sf_dir):
     return spark.read.schema("event_id bigint").json(path).select("event_id", "_metadata.file_name").agg(F.countDistinct("file_name").alias("files"), F.count("*").alias("rows"))
 
 
+@query("SELECT CAST(sum((n + 499) // 500) AS BIGINT) AS files, CAST(sum(n) AS BIGINT) AS rows FROM (SELECT count(*) AS n FROM events GROUP BY event_id % 16)")
+def rotation_of_all_events(spark, sf_dir):
+    path = paths.scratch(spark, "rotation")
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", (F.col("event_id") % 16).alias("part")).repartition("part")
+    writers.writer(rows, "json", "none", 500, partitions=["part"]).save(path)
+    return spark.read.schema("event_id bigint").json(path).select("event_id", "_metadata.file_path").agg(F.countDistinct("file_path").alias("files"), F.count("*").alias("rows"))
+
+
 @query("SELECT strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H') AS \"hour\", count(*) AS rows FROM events GROUP BY 1, 2")
 def hour_partition_layout(spark, sf_dir):
     path = paths.scratch(spark, "hours")
