@@ -12,6 +12,7 @@ Beside it lies an index file with a row for each document: doc_id, start, n_toke
 from __future__ import annotations
 
 import os
+import unicodedata
 import uuid
 import zlib
 from array import array
@@ -49,6 +50,11 @@ _CHUNKS = regex.compile(r"[^ \t\n\r]+").findall
 _MARKS = ".,!?:;"
 
 
+def _letters(word: str) -> bool:
+    """Whether the word is still all letters when normalised (NFC, lower case); a combining mark would join what follows."""
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
+
 @cache
 def _library(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
@@ -86,7 +92,7 @@ class Encoder:
         need: set[str] = set()
         for p in fresh:
             word, mark = (p[:-1], p[-1]) if p[-1] in _MARKS else (p, "")
-            if word.isalpha():
+            if _letters(word):
                 parts[p] = word.lower() if word.isascii() else word, mark
                 need.update(parts[p])
             else:

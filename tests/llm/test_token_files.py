@@ -41,3 +41,12 @@ def test_files(spark, tmp_path):
     ids, mask = first.sequence(0)
     assert len(ids) == 64 and mask[0] and ids[: len(expected("none"))].tolist() == expected("none")
     assert tf.read_documents(tf.write_files(df.limit(0), folder + "0"), folder + "0").count() == 0
+
+
+def test_letters_that_end_in_a_combining_mark():
+    """Words whose normal form ends in a combining mark join the punctuation after it; every letter before every mark."""
+    odd = ["GELD\u0130.", "\u092a\u095d,", "\u09b9\u09df,", "\ufb2a.", "a\u0130! \u0130? \u0130b; x\ufb2a:"]
+    odd += ["a" + chr(k) + m for k in range(0x80, 0x32400) if chr(k).isalpha() for m in ".,"]
+    got = tf.Encoder(P.path(tf.VOCABULARY))(odd)
+    want = [e.ids + [1] for e in LIB.encode_batch_fast(odd, add_special_tokens=False)]
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == want
