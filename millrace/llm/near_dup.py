@@ -7,10 +7,10 @@ fixed random order of their own. Bands of six compressed registers make the buck
 
 Within a bucket documents are not paired all with all. Copies with equal shingle sets
 are one node. Each bucket has a pivot; its members are compared with the pivot, first
-by the collision-corrected estimate of the sketches, then on the full sets. Where a
-bucket still spans several components, a second round takes another pivot in each
-band, and what then spans several components is compared pair by pair across
-components, in blocks.
+by size and the collision-corrected estimate of the sketches, then on the full sets.
+Members of buckets that still span several components go through an exact prefix
+index: pairs of different components whose rarest shingles meet, and whose sizes and
+positions allow the threshold, pass the same estimate and the same verification.
 So each pair that meets in a bucket is verified or already connected: links of
 different texts are lost only if no band of theirs agrees (below 1 in a million at
 the threshold) or if the estimate is more than five deviations low.
@@ -36,10 +36,8 @@ REGISTERS = BANDS * ROWS
 MANTISSA = 10
 #: Deviations of the estimate that a pair may lie under the threshold and still be verified.
 SLACK_DEVIATIONS = 5
-#: Low bits of a bucket's key that hold its band; each band has pivots of its own in the second round.
+#: Low bits of a bucket's key that hold its band.
 BAND_BITS = 6
-#: Members of a block in the comparison across components.
-BLOCK = 256
 #: Members that are verified against one copy of their pivot's set.
 PER_PIVOT_COPY = 64
 #: Bytes that are hashed at once; longer words are hashed on their own.
@@ -210,13 +208,8 @@ def _bands(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "sketch").mapInArrow(run, "bucket bigint, node bigint")
 
 
-def _masks() -> list[int]:
-    """For each band a number; a bucket's pivot is the member whose id lies nearest to it, bit by bit."""
-    return [int(x) for x in np.random.default_rng(1).integers(0, 1 << 62, BANDS)]
-
-
-def _likely(pairs: DataFrame, nodes: DataFrame, floor: float) -> DataFrame:
-    """Those of pairs(a, b) whose sketches come near the threshold."""
+def _likely(pairs: DataFrame, nodes: DataFrame, floor: float, percent: int) -> DataFrame:
+    """Those of pairs(a, b) whose sizes allow the threshold and whose sketches come near it."""
     left = nodes.selectExpr("node a", "n_shingles n_a", "sketch s_a")
     right = nodes.selectExpr("node b", "n_shingles n_b", "sketch s_b")
 
@@ -227,7 +220,8 @@ def _likely(pairs: DataFrame, nodes: DataFrame, floor: float) -> DataFrame:
                 good = estimated(_registers(batch.column(3)), _registers(batch.column(5)), n_a, n_b) >= floor
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(good)) for c in batch.columns[:2]], ["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "s_a", "n_b", "s_b").mapInArrow(run, "a bigint, b bigint")
+    sized = pairs.join(left, "a").join(right, "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    return sized.select("a", "b", "n_a", "s_a", "n_b", "s_b").mapInArrow(run, "a bigint, b bigint")
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int, space: Workspace, name: str) -> DataFrame:
@@ -279,49 +273,54 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
-def _across(members: DataFrame, floor: float) -> DataFrame:
-    """Likely pairs of different components in the same bucket.
-
-    members: bucket, node, component, size (of the bucket), n_shingles, sketch. A bucket
-    is cut into blocks and each pair of blocks is compared on its own.
-    """
-    cut = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("own", F.expr("cast(pmod(xxhash64(node, bucket), blocks) as int)"))
-    units = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).selectExpr("bucket", "least(own, other) i", "greatest(own, other) j", "own", "node", "component", "n_shingles", "sketch")
-    dealt = units.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-
-    def compare(rows: list[tuple]) -> list[tuple[int, int]]:
-        i, j = rows[0][1], rows[0][2]
-        owner, node, comp, n = (np.array([r[k] for r in rows], np.int64) for k in (3, 4, 5, 6))
-        regs = np.frombuffer(b"".join(r[7] for r in rows), np.uint16).reshape(len(rows), REGISTERS)
-        left, right = np.flatnonzero(owner == i), np.flatnonzero(owner == j)
-        out = []
-        for x in left.tolist():
-            ys = right[(comp[right] != comp[x]) & ((node[right] > node[x]) if i == j else True)]
-            if len(ys):
-                ys = ys[estimated(regs[ys], regs[x], n[ys], n[x]) >= floor]
-                out += [(max(int(node[x]), y), min(int(node[x]), y)) for y in node[ys].tolist()]
-        return out
+def _tokens(sets: DataFrame) -> DataFrame:
+    """A row for each shingle of sets(node, component, shingles): token, node, component, n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, rows = None, []
+        for batch in batches:
+            packed = batch.column(2).to_pylist()
+            sizes = np.array([len(x) // 8 for x in packed], np.int64)
+            at = pa.array(np.arange(len(packed)).repeat(sizes))
+            token = pa.array(np.frombuffer(b"".join(packed), np.int64))
+            yield pa.RecordBatch.from_arrays([token, batch.column(0).take(at), batch.column(1).take(at), pa.array(sizes.repeat(sizes))], ["token", "node", "component", "n"])
 
-        def given(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-            a, b = zip(*pairs) if pairs else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(a, pa.int64())], ["a", "b"])
+    return sets.select("node", "component", "shingles").mapInArrow(run, "token bigint, node bigint, component bigint, n bigint")
 
-        for batch in batches:
-            found = []
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[:3] != unit:
-                    if len(rows) > 1:
-                        found += compare(rows)
-                    unit, rows = row[:3], []
-                rows.append(row)
-            yield given(sorted(set(found)))
-        if len(rows) > 1:
-            yield given(compare(rows))
 
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+def _prefixes(sets: DataFrame, percent: int, space: Workspace) -> DataFrame:
+    """token, node, component, n, pos of each shingle that a link to another component can begin with.
+
+    Shingles rank by rarity: those of one component only come first, all others by the
+    number of sets that hold them. Two sets of similarity percent / 100 share one of
+    the first n - ceil(n * percent / 100) + 1 of either, so no others are kept.
+    """
+    tokens = space.save(_tokens(sets), "tokens")
+    shared = tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token", "df")
+    ranked = tokens.join(shared, "token").groupBy("node").agg(F.first("component").alias("component"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ts"))  # a set's own shingles at most
+    ranked = ranked.withColumn("own", F.expr("n - size(ts)")).withColumn("room", F.expr(f"cast(n - ceil(n * {percent} / 100) + 1 - own as int)")).where("room > 0")
+    listed = ranked.select("node", "component", "n", "own", F.posexplode(F.expr("slice(ts, 1, room)")).alias("i", "t"))
+    return listed.select("t.token", "node", "component", "n", F.expr("own + i").alias("pos"))
+
+
+def _across(sets: DataFrame, percent: int, space: Workspace) -> DataFrame:
+    """Pairs of different components that may be links, by an exact prefix index over sets(node, component, shingles).
+
+    A pair is looked at where its prefixes share a shingle. What precedes it in either
+    set is not in the other one, which bounds the intersection; sizes are bounded too.
+    In a shingle's list the component with most members is only looked up by members
+    of the others, so a large class costs nothing by itself.
+    """
+    rows = space.save(_prefixes(sets, percent, space), "prefixes")
+    space.drop("tokens")
+    each = rows.groupBy("token", "component").agg(F.count("*").alias("c"))
+    lists = each.groupBy("token").agg(F.max_by("component", F.struct("c", "component")).alias("major"), F.count("*").alias("several")).where("several > 1").select("token", "major")
+    rows = space.save(rows.join(lists, "token").withColumn("is_major", F.expr("component = major")).drop("major"), "lists")
+    left = rows.where("not is_major").select("token", *(F.col(n).alias(f"{n}_a") for n in ("node", "component", "n", "pos")))
+    right = rows.select("token", "is_major", *(F.col(n).alias(f"{n}_b") for n in ("node", "component", "n", "pos")))
+    near = f"component_a <> component_b and (is_major or node_a < node_b) and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    bound = f"{100 + percent} * least(n_a - pos_a, n_b - pos_b) >= {percent} * (n_a + n_b)"
+    met = left.join(right, (left.token == right.token) & F.expr(near) & F.expr(bound))
+    return met.selectExpr("least(node_a, node_b) a", "greatest(node_a, node_b) b").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -350,48 +349,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     buckets = space.save(bands.join(sizes, "bucket"), "buckets")
     space.drop("bands")
 
-    tried, comp = None, None
-    for round_ in range(3):
-        # Members of the buckets that span more than one component, as far as is known.
-        now = buckets
-        if round_:
-            if comp is None:  # no pair came near the threshold
-                comp = spark.createDataFrame([], "node bigint, component bigint")
-            now = now.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            open_ = now.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-            # The one pair of a bucket of two has been looked at.
-            now = space.save(now.where("size > 2").join(open_.select("bucket"), "bucket"), f"open-{round_}")
-            if now.isEmpty():
-                break
-        if round_ == 0:
-            pairs = _likely(now.where("least <> node").selectExpr("least a", "node b").distinct(), nodes, floor)
-        elif round_ == 1:
-            mask = F.element_at(F.array(*(F.lit(m).cast("bigint") for m in _masks())), (F.col("bucket").bitwiseAND((1 << BAND_BITS) - 1) + 1).cast("int"))
-            coded = now.withColumn("mask", mask).withColumn("code", F.col("node").bitwiseXOR(F.col("mask")))
-            best = coded.groupBy("bucket").agg(F.min("code").alias("best"))
-            pairs = coded.join(best, "bucket").withColumn("pivot", F.col("best").bitwiseXOR(F.col("mask"))).where("pivot <> node")
-            pairs = pairs.join(comp.selectExpr("node pivot", "component theirs"), "pivot", "left").where("component <> coalesce(theirs, pivot)")
-            pairs = _likely(pairs.selectExpr("pivot a", "node b").distinct(), nodes, floor)
-        else:
-            pairs = _across(now.join(nodes.select("node", "n_shingles", "sketch"), "node").select("bucket", "node", "component", "size", "n_shingles", "sketch"), floor)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = space.save(pairs, f"pairs-{round_}")
-        if pairs.isEmpty():
-            continue
-        sets = _sets_of(docs, nodes, pairs.selectExpr("a node").unionAll(pairs.selectExpr("b node")).distinct(), words, space, f"sets-{round_}")
-        good = space.save(_verified(pairs, sets, percent), f"links-{round_}")
-        space.drop(f"sets-{round_}")
-        # What is connected already stands as one link from each node to its component.
-        links = good if comp is None else good.unionAll(comp.selectExpr("node a", "component b"))
-        both = pairs.unionAll(pairs.selectExpr("b a", "a b"))
-        tried = both if tried is None else tried.unionAll(both)
-        comp = components(links, space, f"comp-{round_}")
+    pairs = _likely(buckets.where("least <> node").selectExpr("least a", "node b").distinct(), nodes, floor, percent)
+    pairs = space.save(pairs, "pairs")
+    sets = _sets_of(docs, nodes, pairs.selectExpr("a node").unionAll(pairs.selectExpr("b node")).distinct(), words, space, "sets")
+    links = space.save(_verified(pairs, sets, percent), "links")
+    space.drop("sets")
+    comp = components(links, space, "linked")
+    # Buckets that span more than one component; in one of two members the only pair has been looked at.
+    now = buckets.where("size > 2").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    open_ = now.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
+    left = space.save(now.join(open_, "bucket").select("node", "component").distinct(), "open")
     space.drop("buckets")
+    if not left.isEmpty():
+        sets = _sets_of(docs, nodes, left.select("node"), words, space, "open-sets").join(left, "node")
+        pairs = space.save(_likely(_across(sets, percent, space), nodes, floor, percent), "open-pairs")
+        more = space.save(_verified(pairs, sets.select("node", "shingles"), percent), "open-links")
+        space.drop("open-sets", "prefixes", "lists")
+        # What is connected already stands as one link from each node to its component.
+        comp = components(more.unionAll(comp.selectExpr("node a", "component b")), space, "joined")
 
-    names = heads if comp is None else heads.join(comp, "node", "left").withColumn("node", F.coalesce("component", "node"))
-    out = rows.select("doc_id", "n_shingles", F.when(F.expr("doc_id is not null and n_shingles > 0"), F.col("digest")).alias("digest")).join(names.select("digest", "node"), "digest", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("component_id"), F.expr("coalesce(doc_id = coalesce(node, doc_id), true)").alias("kept"))
+    names = heads.join(comp, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
+    out = known.join(names, "digest").select("doc_id", "n_shingles", "component_id", F.expr("doc_id = component_id").alias("kept"))
+    alone = rows.where("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return out.unionAll(alone)
 
 
 def without_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

@@ -74,7 +74,7 @@ def test_documents(spark, sf, words):
     assert sum(not r.kept for r in got) > 3
 
 
-def test_chains_hubs_and_edges(spark, monkeypatch):
+def test_chains_hubs_and_edges(spark):
     rng = random.Random(5)
     base = [f"w{rng.randrange(9999)}" for _ in range(60)]
     rows = []
@@ -85,7 +85,6 @@ def test_chains_hubs_and_edges(spark, monkeypatch):
     passage = " ".join(f"p{k}" for k in range(45))
     rows += [(2000 + i, passage + " " + " ".join(f"q{rng.randrange(99999)}" for _ in range(9 + i % 6))) for i in range(80)]
     rows += [(5, None), (6, ""), (7, " \n"), (8, "one"), (9, "ONE "), (10, "one two"), (10, "one two"), (None, "one")]
-    monkeypatch.setattr(nd, "BLOCK", 16)
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, node string, bucket string")
     got = nd.near_duplicates(df, 2).collect()
     assert len(got) == len(rows)
@@ -93,3 +92,25 @@ def test_chains_hubs_and_edges(spark, monkeypatch):
     none = [r for r in got if r.doc_id is None]
     assert len(none) == 1 and none[0].component_id is None and none[0].kept
     assert nd.near_duplicates(df.limit(0), 2).count() == 0
+
+
+@pytest.mark.parametrize("words", [2, 5])
+def test_a_family_around_the_threshold(spark, words):
+    """Copies changed by little and by much: some link, many lie just below, all pairs are settled without listing them."""
+    rng = random.Random(words)
+    base = [f"w{rng.randrange(9999)}" for _ in range(120)]
+    rows = []
+    for i in range(300):
+        own = list(base)
+        for k in rng.sample(range(120), rng.choice((1, 2, 3, 5, 6, 7, 8, 9, 12, 20))):
+            own[k] = rng.choice((f"v{rng.randrange(99999)}", base[k - 1]))
+        rows.append((i, " ".join(own)))
+    got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words).collect()
+    want = brute(rows, words)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert 20 < len({c for _, c in want.values()}) < 280
+
+
+def test_rows_without_shingles_only(spark):
+    got = nd.near_duplicates(spark.createDataFrame([(1, None), (2, ""), (2, "")], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == [(1, 0, 1, True), (2, 0, 2, True), (2, 0, 2, True)]
