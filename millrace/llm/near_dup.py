@@ -345,9 +345,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     nodes = space.save(heads.groupBy("node").agg(F.min_by(F.struct("digest", "n_shingles", "sketch"), "digest").alias("h")).select("node", "h.*"), "nodes")
     heads = known.groupBy("digest").agg(F.min("doc_id").alias("node"))
     bands = space.save(_bands(nodes), "bands")
-    sizes = bands.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1")
+    # Written first, so that a hot bucket's rows need not meet in the join and can be split.
+    sizes = space.save(bands.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1"), "sizes")
     buckets = space.save(bands.join(sizes, "bucket"), "buckets")
-    space.drop("bands")
+    space.drop("bands", "sizes")
 
     pairs = _likely(buckets.where("least <> node").selectExpr("least a", "node b").distinct(), nodes, floor, percent)
     pairs = space.save(pairs, "pairs")
@@ -356,10 +357,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     space.drop("sets")
     comp = components(links, space, "linked")
     # Buckets that span more than one component; in one of two members the only pair has been looked at.
-    now = buckets.where("size > 2").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_ = now.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
+    now = space.save(buckets.where("size > 2").join(comp, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component")), "members")
+    open_ = space.save(now.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket"), "open-buckets")
     left = space.save(now.join(open_, "bucket").select("node", "component").distinct(), "open")
-    space.drop("buckets")
+    space.drop("buckets", "members", "open-buckets")
     if not left.isEmpty():
         sets = _sets_of(docs, nodes, left.select("node"), words, space, "open-sets").join(left, "node")
         pairs = space.save(_likely(_across(sets, percent, space), nodes, floor, percent), "open-pairs")
