@@ -6,10 +6,15 @@ from it; sorted by that key, a pivot's vectors fall into annuli. A query first v
 the annuli that lie nearest; the scores found bound its search: by the triangle
 inequality an annulus whose distances from its pivot all differ from the query's by
 more than the search radius holds no result and is left out.
+
+Distances and bounds are rounded, and allowances for that are added; scores are whole
+numbers. Where products of the data's components cannot be summed exactly as doubles,
+the rounded scores only choose whose exact score is computed.
 """
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,25 +34,64 @@ QUERY_BLOCK = 256
 SCALE = 1024
 
 
+#: From here on doubles have no fractions of 1 / SCALE left.
+_WHOLE = float(1 << 43)
+
+
 def quantised(rows: DataFrame) -> DataFrame:
-    """vec_id, v: components as floor(1024 * x), of the vectors that take part."""
+    """vec_id, v: components as floor(1024 * x) / 1024, of the vectors that take part; doubles hold these exactly."""
     x = only(rows, "vec_id", "embedding").select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"))
-    # not > catches NaN; larger components would not stay exact
-    bad = F.exists("e", lambda c: c.isNull() | F.isnan(c) | ~(F.abs(c) < float(1 << 20)))
-    return x.where(F.col("vec_id").isNotNull() & F.col("e").isNotNull() & ~F.coalesce(bad, F.lit(True))).select("vec_id", F.transform("e", lambda c: F.floor(c * float(SCALE)).cast("bigint")).alias("v"))
+    bad = F.exists("e", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+    cut = F.transform("e", lambda c: F.when(F.abs(c) >= _WHOLE, c).otherwise(F.floor(c * float(SCALE)).cast("double") / float(SCALE)))
+    return x.where(F.col("vec_id").isNotNull() & F.col("e").isNotNull() & ~F.coalesce(bad, F.lit(True))).select("vec_id", cut.alias("v"))
+
+
+def whole(v: np.ndarray) -> list[int]:
+    """The integers floor(1024 * x), of any size."""
+    return [int(x) * SCALE if abs(x) >= _WHOLE else int(x * SCALE) for x in v.tolist()]
 
 
 class Index:
     """Pivots and annuli; small, whatever the number of vectors."""
 
-    def __init__(self, dims: int, top: float):
-        self.dims, self.top = dims, top  # top: the largest squared length
+    def __init__(self, dims: int, largest: float):
+        self.dims = dims
+        #: the largest absolute integer, and whether sums of products are exact as doubles
+        self.most = max(1, *map(abs, whole(np.array([largest]))))
+        self.exact = dims * self.most**2 < 1 << 53
+        #: doubles in use are integers if exact, else parts of the largest
+        self.unit = 1 / SCALE if self.exact else max(largest, 1 / SCALE)
+        #: bytes that order any score
+        self.width_of_key = (dims * self.most**2).bit_length() // 8 + 1
+        self.top = 0.0  # the largest squared length
         self.pivots = np.zeros((1, dims + 1))
         self.cells = np.zeros((0, 5))  # pivot, first bin, least and largest distance, parts
         self.width = 1.0
 
+    def raw(self, packed: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(packed), np.float64).reshape(len(packed), self.dims)
+
     def unpack(self, packed: list[bytes]) -> np.ndarray:
-        return np.frombuffer(b"".join(packed), np.int64).reshape(len(packed), self.dims).astype(np.float64)
+        return self.raw(packed) / self.unit
+
+    def allowance(self) -> float:
+        """What rounding may add to or take from a bound: roots of squared distances lose half their digits."""
+        return 4e-7 * (self.dims + 3) ** 0.5 * self.top
+
+    def key(self, score: int) -> bytes:
+        return (score + (1 << (8 * self.width_of_key - 1))).to_bytes(self.width_of_key, "big")
+
+    def of_key(self, key: bytes) -> float:
+        """A key's score in the units of the doubles."""
+        score = int.from_bytes(key, "big") - (1 << (8 * self.width_of_key - 1))
+        return float(score) if self.exact else score / self.most**2
+
+    def scores(self, query: bytes, held: list[bytes], rounded: np.ndarray) -> list[int]:
+        """Exact integer inner products of the query with the held vectors; rounded: the same as doubles."""
+        if self.exact:
+            return [int(x) for x in rounded.tolist()]
+        q = whole(self.raw([query])[0])
+        return [sum(map(operator.mul, q, whole(v))) for v in self.raw(held)]
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
         """x with the coordinate that makes all lengths equal."""
@@ -97,17 +141,17 @@ def _packing(v: DataFrame, dims: int) -> DataFrame:
         for batch in batches:
             packed = []
             for x in batch.column(1):
-                full = np.zeros(dims, np.int64)
+                full = np.zeros(dims)
                 own = x.values.to_numpy()
                 full[: len(own)] = own
-                packed.append(full.tobytes())
+                packed.append((full + 0.0).tobytes())  # no negative zeros
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["vec_id", "packed"])
 
     return v.mapInArrow(run, "vec_id bigint, packed binary")
 
 
 def _visits(queries: DataFrame, index: Index, first: bool) -> DataFrame:
-    """qid, packed, least (score that still counts), cell of each annulus to visit.
+    """qid, packed, least (key of the lowest score that still counts), cell of each annulus to visit.
 
     first: the FIRST annuli of the best bounds; else all others that may hold a result.
     """
@@ -120,24 +164,33 @@ def _visits(queries: DataFrame, index: Index, first: bool) -> DataFrame:
             order = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST]
             pick = np.zeros(bound.shape, bool)
             np.put_along_axis(pick, order, True, 1)
-            least = np.array([-np.inf if x is None else x for x in batch.column(2).to_pylist()])
+            least = np.array([-np.inf if x is None else index.of_key(x) for x in batch.column(2).to_pylist()])
             if not first:
-                # a little lower, as bounds are rounded
-                pick = ~pick & (bound >= least[:, None] - 1e-6 * (1 + index.top))
+                pick = ~pick & (bound >= least[:, None] - index.allowance())
             row, cell = np.nonzero(pick)
             at = pa.array(row)
             yield pa.RecordBatch.from_arrays([*(c.take(at) for c in batch.columns), pa.array(cell.astype(np.int32))], ["qid", "packed", "least", "cell"])
 
-    return queries.select("qid", "packed", "least").mapInArrow(run, "qid bigint, packed binary, least double, cell int")
+    return queries.select("qid", "packed", "least").mapInArrow(run, "qid bigint, packed binary, least binary, cell int")
+
+
+def _best(found: DataFrame, keep: int) -> DataFrame:
+    """Each query's `keep` best of found(qid, vec_id, key, score)."""
+    ranked = Window.partitionBy("qid").orderBy(F.col("key").desc(), "vec_id")
+    return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= keep).drop("rank")
 
 
 def _search(visits: DataFrame, items: DataFrame, index: Index, keep: int) -> DataFrame:
-    """qid, vec_id, score of the best in each visited annulus, `keep` ids at most for each."""
+    """qid, vec_id, key, score of the best in each visited annulus, `keep` ids at most for each.
+
+    key: bytes that order exact scores of any size; score: the score, or the end of the long range beyond which it lies.
+    """
     blocks = visits.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))  # a row for each annulus
-    left = items.join(F.broadcast(blocks), "cell").select("cell", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(None).cast("bigint").alias("qid"), "packed", F.lit(None).cast("double").alias("least"), "ids")
+    left = items.join(F.broadcast(blocks), "cell").select("cell", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(None).cast("bigint").alias("qid"), "packed", F.lit(None).cast("binary").alias("least"), "ids")
     parts = items.groupBy("cell").agg(F.max("parts").alias("parts"))
     right = visits.join(F.broadcast(blocks), "cell").join(F.broadcast(parts), "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.expr("cast(pmod(xxhash64(qid), blocks) as int) block"), "qid", "packed", "least", F.array().cast("array<bigint>").alias("ids"))
     dealt = left.unionAll(right).repartition("cell", "part", "block").sortWithinPartitions("cell", "part", "block", F.col("qid").asc_nulls_first())
+    slack = 0.0 if index.exact else 1e-15 * (index.dims + 3) * index.top  # of a rounded score, either way
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, packed, ids, held = None, [], [], None
@@ -149,12 +202,16 @@ def _search(visits: DataFrame, items: DataFrame, index: Index, keep: int) -> Dat
 
             def answer(asked=asked, cols=cols, out=out):
                 if asked and len(held):
-                    scores = index.unpack([cols[4][r] for r in asked]) @ held.T
+                    rounded = index.unpack([cols[4][r] for r in asked]) @ held.T
                     top = min(keep, held.shape[0])
-                    for r, own in zip(asked, scores):
-                        floor = max(cols[5][r] if cols[5][r] is not None else -np.inf, np.partition(own, -top)[-top])
-                        for k in np.flatnonzero(own >= floor).tolist():
-                            out.extend((cols[3][r], v, int(own[k])) for v in ids[k])
+                    for r, own in zip(asked, rounded):
+                        floor = np.partition(own, -top)[-top]
+                        if cols[5][r] is not None:
+                            floor = max(floor, index.of_key(cols[5][r]))
+                        near = np.flatnonzero(own >= floor - 2 * slack).tolist()
+                        exact = index.scores(cols[4][r], [packed[k] for k in near], own[near])
+                        best = sorted((-s, v) for k, s in zip(near, exact) for v in ids[k])[:keep]
+                        out.extend((cols[3][r], v, index.key(-s), max(-(1 << 63), min((1 << 63) - 1, -s))) for s, v in best)
                 asked.clear()
 
             for r in range(batch.num_rows):
@@ -170,12 +227,10 @@ def _search(visits: DataFrame, items: DataFrame, index: Index, keep: int) -> Dat
                         held = index.unpack(packed) if packed else np.zeros((0, index.dims))
                     asked.append(r)
             answer()
-            q, v, s = zip(*out) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.int64())], ["qid", "vec_id", "score"])
+            q, v, k, s = zip(*out) if out else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(k, pa.binary()), pa.array(s, pa.int64())], ["qid", "vec_id", "key", "score"])
 
-    best = dealt.mapInArrow(run, "qid bigint, vec_id bigint, score bigint")
-    ranked = Window.partitionBy("qid").orderBy(F.col("score").desc(), "vec_id")
-    return best.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= keep).drop("rank")
+    return _best(dealt.mapInArrow(run, "qid bigint, vec_id bigint, key binary, score bigint"), keep)
 
 
 def top_k(rows: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
@@ -183,17 +238,21 @@ def top_k(rows: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
 
     rows: vec_id, embedding. Queries are the rows whose vec_id is divisible by `every`;
     candidates all rows but the query's own. Rows whose id or vector is null, or whose
-    components are null, not finite or 2**20 and more, take no part. Shorter vectors
-    count as filled up with zeros. Repeated rows count once; an id with several vectors
-    is a query, and a candidate, with each. Among equal vectors only the k + 1 smallest
-    ids can be results, so no more are kept. With fewer candidates all are returned.
+    components are null or not finite, take no part. Scores are exact whatever the
+    components' size and rank as such; one outside the long range is returned as the
+    end of that range. Shorter vectors count as filled up with zeros. Repeated rows
+    count once; an id with several vectors is a query, and a candidate, with each.
+    Among equal vectors only the k + 1 smallest ids can be results, so no more are
+    kept. With fewer candidates all are returned.
     """
     spark = rows.sparkSession
     arrow_limits(spark, 1024)
     space = Workspace(spark, "top-k")
     v = space.save(quantised(rows), "vectors")
-    shape = v.agg(F.max(F.size("v")).alias("dims"), F.max(F.aggregate("v", F.lit(0).cast("bigint"), lambda a, c: a + c * c)).alias("top")).first()
-    index = Index(max(1, shape.dims or 1), float(shape.top or 0))
+    shape = v.agg(F.max(F.size("v")).alias("dims"), F.max(F.array_max(F.transform("v", F.abs))).alias("most")).first()
+    index = Index(max(1, shape.dims or 1), float(shape.most or 0))
+    part = F.lit(index.unit)
+    index.top = v.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, c: a + (c / part) * (c / part)))).first()[0] or 0.0
     packed = space.save(_packing(v, index.dims), "packed")
     same = Window.partitionBy("packed").orderBy("vec_id")
     few = packed.distinct().withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1)
@@ -223,10 +282,11 @@ def top_k(rows: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     queries = space.save(asked.groupBy("packed").agg(F.min("vec_id").alias("qid0")), "queries")
     # Equal query vectors are searched once, under a number of their own.
     queries = space.save(queries.select("packed", F.xxhash64("packed", "qid0").alias("qid")), "numbered")
-    near = space.save(_search(_visits(queries.withColumn("least", F.lit(None).cast("double")), index, True), items, index, k + 1), "near")
-    kth = near.groupBy("qid").agg(F.count("*").alias("n"), F.min("score").alias("s")).where(F.col("n") >= k + 1).select("qid", F.col("s").cast("double").alias("least"))
+    near = space.save(_search(_visits(queries.withColumn("least", F.lit(None).cast("binary")), index, True), items, index, k + 1), "near")
+    kth = near.groupBy("qid").agg(F.count("*").alias("n"), F.min("key").alias("least")).where(F.col("n") >= k + 1).select("qid", "least")
     rest = _search(_visits(queries.join(kth, "qid", "left"), index, False), items, index, k + 1)
-    both = near.unionAll(rest)
-    found = asked.join(queries, "packed").select(F.col("vec_id").alias("query_id"), "qid").join(both, "qid").where("vec_id <> query_id")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    # Written, so that a vector that very many ids ask for can be split in the join.
+    best = space.save(_best(near.unionAll(rest), k + 1), "best")
+    found = asked.join(queries, "packed").select(F.col("vec_id").alias("query_id"), "qid").join(best, "qid").where("vec_id <> query_id")
+    order = Window.partitionBy("query_id").orderBy(F.col("key").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

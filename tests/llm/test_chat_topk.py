@@ -52,7 +52,7 @@ def brute(rows, k, every):
     for q, a in ok.items():
         if q % every == 0:
             s = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in ok.items() if i != q)[:k]
-            out |= {(q, n, i, -v) for n, (v, i) in enumerate(s, 1)}
+            out |= {(q, n, i, max(-(2**63), min(2**63 - 1, -v))) for n, (v, i) in enumerate(s, 1)}
     return out
 
 
@@ -73,11 +73,32 @@ def test_top_k(spark, monkeypatch):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e3, 3e4, 1e6, 3e9, 3.4e38])
+def test_top_k_of_large_components(spark, size):
+    """Every finite vector takes part; scores are exact where doubles and longs are too small for them."""
+    rng = np.random.default_rng(5)
+    x = rng.uniform(-1, 1, size=(300, 64)).astype(np.float32) * np.float32(size)
+    x[200:220] = x[5] + np.float32(size) * np.float32(1e-7) * rng.integers(-3, 4, (20, 64)).astype(np.float32)
+    x[220:230] *= np.float32(1e-6)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(400, [0.0] * 64), (401, [-0.0] * 64)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    want = brute(rows, 10, 20)
+    assert {tuple(r) for r in topk.top_k(df, every=20).collect()} == want and len(want) == 160
+
+
+def test_top_k_of_doubles(spark):
+    rows = [(i, [s * 1.7e308, 0.25 * i, 5e-324]) for i, s in enumerate((1.0, -1.0, 0.5, 0.0, 1.0))]
+    got = {tuple(r)[:3] for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=2, every=1).collect()}
+    assert got == {(0, 1, 4), (0, 2, 2), (1, 1, 3), (1, 2, 2), (2, 1, 4), (2, 2, 0), (3, 1, 4), (3, 2, 2), (4, 1, 0), (4, 2, 2)}
+
+
 def test_annuli_are_left_out():
     """On clustered vectors the bounds spare most cells."""
     rng = np.random.default_rng(0)
     x = np.rint(np.concatenate([rng.normal(size=(200, 8)) * 20 + c for c in rng.normal(size=(16, 8)) * 1000]))
-    index = topk.Index(8, float((x * x).sum(1).max()))
+    index = topk.Index(8, float(np.abs(x).max()) / 1024)
+    assert index.exact
+    index.top = float((x * x).sum(1).max())
     index.fit(x)
     far = index.distances(index.lifted(x))
     near = far.argmin(1)
