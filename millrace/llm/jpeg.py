@@ -2,8 +2,10 @@
 and a writer that keeps any payload in the coefficients without loss.
 
 The decoder accumulates scans into one coefficient array for each component and
-handles any Huffman tables, sampling factors and restart-free scan scripts. Scans
-whose symbols all have one length are read as arrays; the rest bit by bit.
+handles any Huffman tables, sampling factors, restart intervals and scan scripts of
+pictures with one or three components. Scans whose symbols all have one length are
+read as arrays; the rest bit by bit. Anything else, and any damage that shows, is a
+ValueError.
 
 The writer puts 64 payload bytes into each 8 x 8 block. Byte 0 is the DC coefficient.
 Each other byte is an AC coefficient whose sign and magnitude bits are that byte (128
@@ -150,15 +152,66 @@ class Image:
         return np.concatenate([np.stack(x, -1).astype(np.uint8) for x in self.planes()])
 
 
+def _frame(body: bytes, tables: dict[int, np.ndarray], room: int) -> Image:
+    """The empty picture that a frame header announces; room: blocks that the data can hold at most."""
+    if len(body) < 6 or len(body) != 6 + 3 * body[5]:
+        raise ValueError("damaged frame")
+    bits, height, width, n = struct.unpack(">BHHB", body[:6])
+    comps = [Component(body[6 + 3 * i], body[7 + 3 * i] >> 4, body[7 + 3 * i] & 15, body[8 + 3 * i]) for i in range(n)]
+    if bits != 8 or not height or not width or n not in (1, 3) or len({c.ident for c in comps}) < n or not all(1 <= x <= 4 for c in comps for x in (c.h, c.v)):
+        raise ValueError("a frame of another kind, or a damaged one")
+    hmax, vmax = max(c.h for c in comps), max(c.v for c in comps)
+    if any(hmax % c.h or vmax % c.v for c in comps):
+        raise ValueError("chroma is not an even part of the picture")
+    mx, my = -(-width // (8 * hmax)), -(-height // (8 * vmax))
+    if mx * my * sum(c.h * c.v for c in comps) > room:
+        raise ValueError("the frame is larger than its data")
+    for c in comps:
+        c.across, c.down = -(-(-(-width * c.h // hmax)) // 8), -(-(-(-height * c.v // vmax)) // 8)
+        c.coef = np.zeros((my * c.v, mx * c.h, 64), np.int32)
+    return Image(width, height, comps, tables)
+
+
+def _scan_end(data: bytes, at: int) -> tuple[int, list[bytes]]:
+    """Where the next marker ends the scan that starts at at, and the scan's data between restart markers; 00 after FF is data."""
+    parts, begin, end = [], at, at
+    while True:
+        end = data.find(b"\xff", end)
+        if end < 0 or end + 1 >= len(data):
+            end = len(data)
+            break
+        if 0xD0 <= data[end + 1] <= 0xD7:
+            parts.append(data[begin:end])
+            begin = end + 2
+        elif data[end + 1]:
+            break
+        end += 2
+    return end, [p.replace(b"\xff\x00", b"\xff") for p in (*parts, data[begin:end])]
+
+
 def decode(data: bytes, plain: bool = False) -> Image:
     """Reads a progressive JPEG. plain: take no short ways, for tests."""
-    image, tables, huff, at = None, {}, {}, 2
+    try:
+        return _decode(data, plain)
+    except (IndexError, KeyError, OverflowError) as e:  # a table or bits that are not there
+        raise ValueError("damaged picture") from e
+
+
+def _decode(data: bytes, plain: bool) -> Image:
+    image, tables, huff, at, interval = None, {}, {}, 2, 0
     comment = b""
     if data[:2] != b"\xff\xd8":
         raise ValueError("not a JPEG")
     while at + 4 <= len(data):
+        if data[at] != 0xFF:
+            raise ValueError("no marker where one must be")
         marker, size = data[at + 1], struct.unpack(">H", data[at + 2 : at + 4])[0]
+        if marker == 0xFF:  # fill
+            at += 1
+            continue
         body, at = data[at + 4 : at + 2 + size], at + 2 + size
+        if size < 2 or at > len(data):
+            raise ValueError("a cut segment")
         if marker == 0xFE:
             comment = body
         elif marker == 0xDB:
@@ -166,75 +219,77 @@ def decode(data: bytes, plain: bool = False) -> Image:
         elif marker == 0xC4:
             huff |= _huffman(body)
         elif marker == 0xC2:
-            _, height, width, n = struct.unpack(">BHHB", body[:6])
-            comps = [Component(body[6 + 3 * i], body[7 + 3 * i] >> 4, body[7 + 3 * i] & 15, body[8 + 3 * i]) for i in range(n)]
-            hmax, vmax = max(c.h for c in comps), max(c.v for c in comps)
-            mx, my = -(-width // (8 * hmax)), -(-height // (8 * vmax))
-            for c in comps:
-                c.across, c.down = -(-(-(-width * c.h // hmax)) // 8), -(-(-(-height * c.v // vmax)) // 8)
-                c.coef = np.zeros((my * c.v, mx * c.h, 64), np.int32)
-            image = Image(width, height, comps, tables)
+            if image is not None:
+                raise ValueError("a second frame")
+            image = _frame(body, tables, 8 * len(data))
         elif marker in (0xC0, 0xC1, 0xC3) or 0xC5 <= marker <= 0xCF:
             raise ValueError("not a progressive Huffman JPEG")
-        elif marker == 0xDD and body != b"\0\0":
-            raise ValueError("restart intervals are not supported")
+        elif marker == 0xDD:
+            interval = int.from_bytes(body[:2], "big")
         elif marker == 0xDA:
-            end = at
-            while True:  # the next marker ends the scan; 00 after FF is data
-                end = data.find(b"\xff", end)
-                if end < 0 or end + 1 >= len(data):
-                    end = len(data)
-                    break
-                if data[end + 1]:
-                    break
-                end += 2
+            at, parts = _scan_end(data, at)
+            if image is None or not body or len(body) != 4 + 2 * body[0]:
+                raise ValueError("a scan without a frame, or a damaged one")
             n = body[0]
-            chosen = [(next(c for c in image.comps if c.ident == body[1 + 2 * i]), body[2 + 2 * i]) for i in range(n)]
+            own = {c.ident: c for c in image.comps}
+            chosen = [(own[body[1 + 2 * i]], body[2 + 2 * i]) for i in range(n)]
             ss, se, approx = body[1 + 2 * n : 4 + 2 * n]
-            _scan(image, chosen, huff, ss, se, approx >> 4, approx & 15, data[at:end].replace(b"\xff\x00", b"\xff"), plain)
-            at = end
+            if not (0 <= ss <= se < 64) or not n or (ss == 0) != (se == 0) or ss and n > 1 or approx & 15 > 13:
+                raise ValueError("a scan of another kind, or a damaged one")
+            if len(parts) > 1 and not interval:
+                raise ValueError("restart markers without an interval")
+            _scan(chosen, huff, ss, se, approx >> 4, approx & 15, parts, interval, plain)
             if data[at : at + 2] == b"\xff\xd9":
                 break
-    if image is None:
-        raise ValueError("no frame")
+    if image is None or any(c.tq not in tables for c in image.comps):
+        raise ValueError("no frame, or no quantisers for it")
     image.comment = comment
     return image
 
 
-def _scan(image: Image, chosen: list, huff: dict, ss: int, se: int, high: int, low: int, data: bytes, plain: bool) -> None:
+def _runs(n: int, parts: list[bytes], interval: int) -> Iterator[tuple[int, int, bytes]]:
+    """From which MCU to which each part of a scan's data reaches."""
+    step = interval or n
+    if len(parts) != max(1, -(-n // step)):
+        raise ValueError("restart markers are missing")
+    return ((k * step, min(n, (k + 1) * step), p) for k, p in enumerate(parts))
+
+
+def _scan(chosen: list, huff: dict, ss: int, se: int, high: int, low: int, parts: list[bytes], interval: int, plain: bool) -> None:
     if ss == 0:
-        _dc(image, chosen, huff, high, low, data)
+        _dc(chosen, huff, high, low, parts, interval)
         return
     c, table = chosen[0][0], huff[0x10 | chosen[0][1] & 15]
     own = c.coef[: c.down, : c.across]
-    blocks = own.reshape(-1, 64)  # a copy where the MCUs are padded
-    if high:
-        if plain or not _refine_at_once(blocks, table, ss, se, low, data):
-            _refine(blocks, table, ss, se, low, _windows(data))
-    elif plain or not _first_at_once(blocks, table, ss, se, low, data):
-        _first(blocks, table, ss, se, low, _windows(data))
-    own[...] = blocks.reshape(own.shape)
-
-
-def _dc(image: Image, chosen: list, huff: dict, high: int, low: int, data: bytes) -> None:
+    every = own.reshape(-1, 64)  # a copy where the MCUs are padded
+    for begin, end, data in _runs(len(every), parts, interval):
+        blocks = every[begin:end]
+        if high:
+            if plain or not _refine_at_once(blocks, table, ss, se, low, data):
+                _refine(blocks, table, ss, se, low, _windows(data))
+        elif plain or not _first_at_once(blocks, table, ss, se, low, data):
+            _first(blocks, table, ss, se, low, _windows(data))
+    own[...] = every.reshape(own.shape)
+
+
+def _dc(chosen: list, huff: dict, high: int, low: int, parts: list[bytes], interval: int) -> None:
     if len(chosen) == 1:
         c = chosen[0][0]
-        views, order = [c.coef[: c.down, : c.across, 0]], None
-        shapes = [views[0].shape]
+        views, together = [c.coef[: c.down, : c.across, 0]], False
         cells = [views[0].reshape(-1, 1)]
     else:  # MCUs: of each component in turn v x h blocks
-        views = [c.coef[..., 0] for c, _ in chosen]
-        shapes = [v.shape for v in views]
+        views, together = [c.coef[..., 0] for c, _ in chosen], True
         cells = [v.reshape(v.shape[0] // c.v, c.v, v.shape[1] // c.h, c.h).transpose(0, 2, 1, 3).reshape(-1, c.v * c.h) for v, (c, _) in zip(views, chosen)]
-        order = True
     widths = [x.shape[1] for x in cells]
-    whole = np.concatenate(cells, 1)
-    if high:
-        bits = np.unpackbits(np.frombuffer(data, np.uint8))[: whole.size].reshape(whole.shape)
-        whole |= bits.astype(np.int32) << low
-    else:
+    every = np.concatenate(cells, 1)
+    which = [k for k, w in enumerate(widths) for _ in range(w)]
+    for begin, end, data in _runs(len(every), parts, interval):
+        whole = every[begin:end]
+        if high:
+            bits = np.unpackbits(np.frombuffer(data, np.uint8))[: whole.size].reshape(whole.shape)
+            whole |= bits.astype(np.int32) << low
+            continue
         win, pos, out = _windows(data), 0, []
-        which = [k for k, w in enumerate(widths) for _ in range(w)]
         look = [_lookup(*huff[t >> 4]) for _, t in chosen]
         plan, last = [(k, *look[k]) for k in which], [0] * len(chosen)
         for _ in range(len(whole)):
@@ -249,10 +304,10 @@ def _dc(image: Image, chosen: list, huff: dict, high: int, low: int, data: bytes
                 out.append(last[k])
         whole[...] = np.array(out, np.int32).reshape(whole.shape) << low
     at = 0
-    for view, shape, (c, _), w in zip(views, shapes, chosen, widths):
-        part = whole[:, at : at + w]
+    for view, (c, _), w in zip(views, chosen, widths):
+        part, shape = every[:, at : at + w], view.shape
         at += w
-        view[...] = part.reshape(shape) if order is None else part.reshape(shape[0] // c.v, shape[1] // c.h, c.v, c.h).transpose(0, 2, 1, 3).reshape(shape)
+        view[...] = part.reshape(shape[0] // c.v, shape[1] // c.h, c.v, c.h).transpose(0, 2, 1, 3).reshape(shape) if together else part.reshape(shape)
 
 
 #: What seven bits after a code stand for.

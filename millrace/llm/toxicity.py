@@ -10,6 +10,7 @@ training, whatever their numbers.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -177,10 +178,10 @@ def _sample(docs: DataFrame, labels: DataFrame, space: Workspace) -> DataFrame:
         find = Terms()
         for batch in batches:
             found = [np.array(find(t), np.uint32).tobytes() for t in texts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([zlib.crc32(f) for f in found], pa.int64()), pa.array(found, pa.binary())], ["label", "same", "terms"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([hashlib.blake2b(f, digest_size=16).digest() for f in found], pa.binary()), pa.array(found, pa.binary())], ["label", "same", "terms"])
 
     joined = docs.join(F.broadcast(chosen), docs.doc_id == chosen["_id"])  # SAMPLE rows at most
-    return space.save(joined.select("label", "text").mapInArrow(run, "label double, same bigint, terms binary"), "sample")
+    return space.save(joined.select("label", "text").mapInArrow(run, "label double, same binary, terms binary"), "sample")
 
 
 def _counts(sample: DataFrame) -> DataFrame:
@@ -218,7 +219,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, int], Machine]:
             out = [np.array([chosen[t] for t in np.frombuffer(x, np.uint32).tolist() if t in chosen], np.int32).tobytes() for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["label", "same", "terms"])
 
-    rows = sample.mapInArrow(run, "label double, same bigint, terms binary").toPandas()  # SAMPLE rows of chosen terms
+    rows = sample.mapInArrow(run, "label double, same binary, terms binary").toPandas()  # SAMPLE rows of chosen terms
     rows = rows.sort_values(["same", "label"])  # the same order in each run
     machine = fit([np.frombuffer(t, np.int32) for t in rows["terms"]], rows["label"].to_numpy(), len(chosen))
     space.drop("chosen", "sample")

@@ -30,7 +30,7 @@ def to_bytes(bits):
     return bytes(int(bits[i : i + 8], 2) for i in range(0, len(bits), 8)).replace(b"\xff", b"\xff\x00")
 
 
-def grey(coef, across, down, scans):
+def grey(coef, across, down, scans, interval=0):
     """A plain progressive writer for tests: any coefficients, one component, codes of eight bits for every symbol."""
     symbols = bytes(range(255))
     table = bytes([0] * 7 + [255] + [0] * 8) + symbols
@@ -44,7 +44,7 @@ def grey(coef, across, down, scans):
     def down_by(v, low):
         return (abs(v) >> low) * (1 if v > 0 else -1)
 
-    for ss, se, high, low in scans:
+    def coded(coef, ss, se, high, low):
         parts = []
         if ss == 0 and not high:
             last = 0
@@ -91,7 +91,13 @@ def grey(coef, across, down, scans):
                 else:
                     pass
             flush()
-        out += jpeg._scan_head([1], ss, se, high, low) + to_bytes(bits_of(parts))
+        return to_bytes(bits_of(parts))
+
+    if interval:
+        out += jpeg._segment(0xDD, interval.to_bytes(2, "big"))
+    for scan in scans:
+        runs = [coded(coef[i : i + (interval or len(coef))], *scan) for i in range(0, len(coef), interval or len(coef))]
+        out += jpeg._scan_head([1], *scan) + b"".join(r + (bytes([0xFF, 0xD0 + k % 8]) if k + 1 < len(runs) else b"") for k, r in enumerate(runs))
     return out + b"\xff\xd9"
 
 
@@ -102,8 +108,9 @@ def test_any_coefficients_by_any_script():
     coef[7, 1:] = 0
     coef[5, 63] = 9
     script = [(0, 0, 0, 2), (1, 5, 0, 2), (6, 63, 0, 3), (6, 63, 3, 2), (0, 0, 2, 1), (1, 63, 2, 1), (0, 0, 1, 0), (1, 63, 1, 0)]
-    image = jpeg.decode(grey(coef.tolist(), 4, 3, script))
-    assert (image.comps[0].coef.reshape(-1, 64) == coef).all()
+    for interval in (0, 1, 5):
+        image = jpeg.decode(grey(coef.tolist(), 4, 3, script, interval))
+        assert (image.comps[0].coef.reshape(-1, 64) == coef).all()
     assert image.rgb().shape == (21, 27, 3)
 
 
@@ -130,3 +137,37 @@ def test_rows(spark):
     assert len(t[4].rgb) == t[4].height * t[4].width * 3
     bad = media.decode_tensors(spark.createDataFrame([(1, bytearray(b"no")), (2, None)], "doc_id long, media binary")).collect()
     assert [r.rgb for r in bad] == [None, None]
+
+
+def test_damage_is_a_value_error(spark):
+    """Cut, changed and senseless pictures raise ValueError and nothing else; rows of them give nulls."""
+    rng = np.random.default_rng(0)
+    good = [jpeg.encode_payload(bytes(range(256)) * 6, b"bytes=1 payload=1536"), grey([[40, 3] + [0] * 62] * 4, 2, 2, [(0, 0, 0, 0), (1, 63, 0, 0)], 2)]
+    frame, head = jpeg._segment(0xC2, bytes([8, 0, 8, 0, 8, 1, 1, 0x11, 0])), jpeg._scan_head([1], 0, 0, 0, 0)
+    bad = [b"", b"\xff\xd8", b"\xff\xd8" + head + b"\0", b"\xff\xd8" + jpeg._segment(0xC2, b"\x08\0"), b"\xff\xd8" + frame, b"\xff\xd8" + frame + frame]
+    bad += [b"\xff\xd8" + jpeg._segment(0xC2, bytes([8, 0, 8, 0, 8, n, *[1, hv, 0] * n])) + head + b"\0" for n, hv in ((1, 0), (1, 0x10), (4, 0x11), (2, 0x11))]
+    bad += [b"\xff\xd8" + jpeg._segment(0xC2, bytes([8, 255, 255, 255, 255, 1, 1, 0x11, 0])) + head + b"\0"]
+    for data in good:
+        bad += [data[:n] for n in range(3, len(data) - 2, 37)]
+        for _ in range(300):
+            own = bytearray(data)
+            for at in rng.integers(2, len(own), 2):
+                own[at] = rng.integers(0, 256)
+            bad.append(bytes(own))
+    seen = 0
+    for data in bad:
+        try:
+            jpeg.decode(data).rgb()
+        except ValueError:
+            seen += 1
+    assert seen > 100
+    rows = media.decode_tensors(spark.createDataFrame([(k, bytearray(d)) for k, d in enumerate(bad[:11] + good)], "doc_id long, media binary")).orderBy("doc_id").collect()
+    assert [r.rgb is None for r in rows] == [True] * 11 + [False, False]
+
+
+def test_feature_is_of_the_tensor(spark):
+    df = spark.createDataFrame([(1, "some text " * 900)], "doc_id long, text string")
+    t = media.decode_tensors(media.store_texts(df)).first()
+    x = np.frombuffer(t.rgb, np.uint8).reshape(t.height, t.width, 3).astype(float)
+    want = f"{t.width}x{t.height} " + " ".join(f"{c}={x[..., k].mean():.3f}/{x[..., k].std():.3f}" for k, c in enumerate("rgb"))
+    assert media.round_trip(df).first().feature == want

@@ -35,6 +35,7 @@ def test_held_out_accuracy_and_edges(spark):
     toxic = [r.score for r in got if r.toxic == 1 and r.quality == 1]  # poor rows are marked toxic at random
     clean = [r.score for r in got if r.toxic == 0]
     assert len(toxic) > 50 and np.mean(np.array(toxic) >= tx.THRESHOLD) > 0.9
+    assert np.mean([r.score >= tx.THRESHOLD for r in got if r.toxic == 1]) > 0.84
     assert np.mean(np.array(clean) >= tx.THRESHOLD) < 0.01
     odd = spark.createDataFrame([(1, None, 3), (1, "", 3), (None, "x" * 300_000, 3), (2, "idiot loser scum " * 4, 3)], "doc_id long, text string, score int")
     rows = tx.score(odd, chosen, machine).collect()
@@ -65,3 +66,7 @@ def test_toxic_only_as_a_pair(spark):
     pairs, single = ([got[i] for i, _, toxic, both in rows[4000:] if toxic == k and both == k] for k in (1, 0))
     assert len(pairs) > 100 and len(single) > 500
     assert np.mean(np.array(pairs) >= tx.THRESHOLD) > 0.9 and np.mean(np.array(single) >= tx.THRESHOLD) < 0.02
+    chosen, machine = model  # with factors set to zero nothing is left
+    weights_only = tx.Machine(machine.bias, machine.weights, machine.factors * 0)
+    got = {r.doc_id: r.score for r in tx.score(docs, chosen, weights_only).collect()}
+    assert np.mean([got[i] >= tx.THRESHOLD for i, _, toxic, both in rows[4000:] if toxic and both]) < 0.2
