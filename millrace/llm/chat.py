@@ -1,23 +1,25 @@
 """Chat formatting in budgeted windows, in DataFrame operations only.
 
 Turns are written as `<|im_start|>role`, a line break, the text, `<|im_end|>` and a
-line break. Prefix sums of turn tokens choose the windows: a window ends with the turn
-that crosses a multiple of the budget, so spans keep whole turns. Each window repeats
-the conversation's leading system turn and a few earlier turns as context, which the
-loss mask leaves out; so each assistant text is a target exactly once.
+line break. Prefix sums of turn tokens choose the windows: the leading system turn's
+tokens are set aside, and of what is left half is a step; turns that begin in the same
+step share a window, turns larger than a step stand alone. So a window's new turns
+never hold more than two steps. Each window repeats the system turn and, as far as the
+budget allows, a few earlier turns as context, which the loss mask leaves out; so each
+assistant text is a target exactly once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, Workspace, only
-from .ordering import prefix_sums, range_parts
+from .ordering import PART, prefix_sums, range_parts
 
 #: Fixed values of the template.
 START, END = "<|im_start|>", "<|im_end|>"
-#: Tokens of new turns after which a window closes, and earlier turns that a later window repeats.
+#: Tokens of a window, context included, and earlier turns that a later window repeats at most.
 BUDGET, HISTORY = 512, 2
 #: Tokens that a turn's marks and role count for.
 TURN_TOKENS = 4
@@ -41,15 +43,37 @@ def unescaped_role(role: Column) -> Column:
     return unescaped(F.replace(role, F.lit("\\n"), F.lit("\n")))
 
 
+def _with_system(parted: DataFrame, order: list[Column], budget: int) -> DataFrame:
+    """Adds system: the conversation's leading system turn (role, text, tokens), if it has one of at most half the budget.
+
+    Inside a partition a window finds it; a conversation that goes on in later
+    partitions takes it along in a table with a row for each partition at most.
+    """
+    first = F.struct("role", "text", "tokens")
+    fits = lambda t: F.when((t["role"] == "system") & (t["tokens"] * 2 <= budget), t)
+    inside = parted.withColumn("_first", fits(F.first(first).over(Window.partitionBy(PART, "group").orderBy(*order))))
+    starts = parted.groupBy(F.col("group").alias("_g"), F.col(PART).alias("_p")).agg(fits(F.min(F.struct(*order, "tokens"))).alias("_s"))
+    head = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Only conversations that began in an earlier partition: at most one for each partition.
+    later = starts.withColumn("_s0", F.first("_s").over(head)).withColumn("_p0", F.first("_p").over(head)).where("_p > _p0").select("_g", "_p", F.lit(True).alias("_later"), F.struct(F.col("_s0.role").alias("role"), F.col("_s0.text").alias("text"), F.col("_s0.tokens").alias("tokens")).alias("_s"))
+    joined = inside.join(F.broadcast(later), (F.col("group") == F.col("_g")) & (F.col(PART) == F.col("_p")), "left")
+    found = F.when(F.coalesce("_later", F.lit(False)), F.when(F.col("_s.role").isNotNull(), F.col("_s"))).otherwise(F.col("_first"))
+    return joined.select(*parted.columns, found.alias("system"))
+
+
 def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """One row for each window: conv_id, window, formatted, n_context (turns repeated), loss (spans start, length in characters).
+    """One row for each window: conv_id, window, formatted, n_context (turns repeated), tokens, loss (spans start, length in characters).
 
     turns: conv_id, turn, role, text. Rows stand by turn; equal turns by role and text;
     null turns first. Null roles and texts are empty; rows with a null conv_id are one
     conversation. Only texts of role `assistant` that are new in a window are targets,
-    their spans are over the formatted (escaped) text, starting from 0. A turn larger
-    than the budget fills a window by itself. A conversation is never gathered: only a
-    window's turns meet, and windows hold budget tokens and one turn at most.
+    their spans are over the formatted (escaped) text, starting from 0.
+
+    A window holds at most budget tokens, context included, unless it is one turn that
+    is larger by itself. The system turn is repeated first; a turn that leaves no room
+    for it goes without, and a system turn of over half the budget is a turn like any
+    other. Of the earlier turns the nearest are repeated while they fit. A conversation
+    is never gathered: only a window's turns meet.
     """
     space = Workspace(turns.sparkSession, "chat")
     rows = only(turns, "conv_id", "turn", "role", "text").select(
@@ -59,20 +83,29 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
     rows = rows.withColumn("group", F.struct("no_id", "conv"))
     order = [F.col("group"), F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
     parted = range_parts(rows, order, space, "parted")
-    summed = prefix_sums(parted, "group", order[1:], {"before": F.col("tokens"), "idx": F.lit(1).cast("bigint")})
-    summed = space.save(summed.withColumn("window", F.floor(F.col("before") / budget).cast("bigint")), "turns")
-    own = summed.select("group", "window", "idx", "role", "text", F.lit(True).alias("new"))
-    # A window's first new turn; what lies just before it is its history, the leading system turn its system turn.
-    firsts = summed.groupBy("group", "window").agg(F.min("idx").alias("first")).where("first > 0")
-    wanted = firsts.select("group", "window", F.explode(F.sequence(F.greatest(F.lit(0), F.col("first") - history), F.col("first") - 1)).alias("idx"))
-    past = wanted.join(summed.select("group", "idx", "role", "text"), ["group", "idx"]).select("group", "window", "idx", "role", "text", F.lit(False).alias("new"))
-    system = summed.where("idx = 0 and role = 'system'").select("group", "idx", "role", "text")
-    system = firsts.where(F.col("first") > history).join(system, "group").select("group", "window", "idx", "role", "text", F.lit(False).alias("new"))
+    known = _with_system(parted, [F.col(n) for n in ("turn", "role", "text")], budget)
+    known = known.withColumn("kept", F.coalesce(F.col("system.tokens"), F.lit(0)))  # tokens set aside
+    known = space.save(known.withColumn("step", F.expr(f"greatest(1, ({budget} - kept) div 2)")), "known")
+    # The system turn itself has index 0 and takes no part in the steps.
+    summed = prefix_sums(known, "group", order[1:], {"before": F.col("tokens"), "idx": F.lit(1).cast("bigint"), "large": F.expr("cast(tokens > step as bigint)")})
+    summed = summed.withColumn("alone", F.expr("tokens > step and (idx > 0 or kept = 0)")).withColumn("large", F.expr("large - if(idx > 0 and kept > step, 1, 0)"))
+    at = F.expr("if(idx = 0, 0, before - kept) div step")
+    summed = space.save(summed.withColumn("window", F.struct(at.alias("step"), "large", "alone")), "turns")
+    own = summed.select("group", "window", "idx", "role", "text", "tokens", F.lit(True).alias("new"))
+    # A window's first new turn, and the room that its new turns leave.
+    firsts = summed.groupBy("group", "window").agg(F.min("idx").alias("first"), F.min("before").alias("from"), F.first("system").alias("system"), F.first("kept").alias("kept"), F.sum("tokens").alias("new_tokens")).where("first > 0")
+    firsts = firsts.withColumn("room", F.expr(f"{budget} - new_tokens"))
+    system = firsts.where("kept > 0 and room >= kept").select("group", "window", F.lit(0).cast("bigint").alias("idx"), "system.role", "system.text", F.col("kept").alias("tokens"), F.lit(False).alias("new"))
+    lowest = F.greatest(F.expr("if(kept > 0, 1, 0)"), F.col("first") - history)
+    wanted = firsts.where(F.lit(history) > 0).where(lowest < F.col("first")).select("group", "window", "from", F.expr("room - if(room >= kept, kept, 0)").alias("room"), F.explode(F.sequence(lowest, F.col("first") - 1)).alias("idx"))
+    # Earlier turns from this one on fit together.
+    past = wanted.where("room > 0").join(summed.select("group", "idx", "before", "role", "text", "tokens"), ["group", "idx"]).where(F.col("from") - F.col("before") <= F.col("room"))
+    past = past.select("group", "window", "idx", "role", "text", "tokens", F.lit(False).alias("new"))
     every = own.unionAll(past).unionAll(system)
     piece = F.concat(F.lit(START), escaped_role(F.col("role")), F.lit("\n"), escaped(F.col("text")), F.lit(END + "\n"))
     head = F.length(F.concat(F.lit(START), escaped_role(F.col("role")), F.lit("\n")))
-    every = every.select("group", "window", F.struct("idx", piece.alias("piece"), F.length(piece).alias("n"), head.alias("head"), F.length(escaped("text")).alias("body"), (F.col("new") & (F.col("role") == "assistant")).alias("target"), "new").alias("t"))
-    built = every.groupBy("group", "window").agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    every = every.select("group", "window", F.struct("idx", piece.alias("piece"), F.length(piece).alias("n"), head.alias("head"), F.length(escaped("text")).alias("body"), (F.col("new") & (F.col("role") == "assistant")).alias("target"), "new", "tokens").alias("t"))
+    built = every.groupBy("group", "window").agg(F.sort_array(F.collect_list("t")).alias("ts"))  # a window's turns
     # Span starts: characters of the pieces before.
     step = lambda acc, t: F.struct((acc["at"] + t["n"]).alias("at"), F.when(t["target"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + t["head"]).alias("start"), t["body"].alias("length"))))).otherwise(acc["spans"]).alias("spans"))
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
@@ -81,6 +114,7 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
         "window",
         F.array_join(F.transform("ts", lambda t: t["piece"]), "").alias("formatted"),
         F.size(F.filter("ts", lambda t: ~t["new"])).alias("n_context"),
+        F.aggregate("ts", F.lit(0).cast("bigint"), lambda n, t: n + t["tokens"]).alias("tokens"),
         F.aggregate("ts", zero, step)["spans"].alias("loss"),
     )
 
@@ -90,7 +124,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
     Windows are split at their marks, repeated turns are left out, roles and texts are
     unescaped; the loss text is cut out by the spans and unescaped. A digest is over
-    the whole of a conversation, so here, and only here, its texts come together.
+    the whole of a conversation, so here, and only here, its texts come together: a
+    conversation of over 2 GB has no digest and ends the job.
     """
     turns = F.expr(r"slice(split(formatted, '<\\|im_start\\|>'), n_context + 2, greatest(0, size(split(formatted, '<\\|im_start\\|>')) - n_context - 1))")
     # A piece is: role, line break, text, end mark, line break.

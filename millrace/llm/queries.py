@@ -100,15 +100,23 @@ WITH t AS (
   UNION ALL SELECT -1, 0, 'user', '{TRICKY}' UNION ALL SELECT -1, 1, 'assistant', '{TRICKY}'
 ), o AS (
   SELECT *, len({_WORDS.format("x")}) + 4 AS tokens, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, x) - 1 AS idx FROM t
-), w AS (
-  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 512 AS win,
+), h AS (
+  SELECT *, coalesce(max(CASE WHEN idx = 0 AND r = 'system' AND tokens <= 256 THEN tokens END) OVER (PARTITION BY conv_id), 0) AS kept,
+    coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
     length('<|im_start|>' || replace(replace(replace(r, '\', '\b'), '<|', '\l|'), chr(10), '\n') || chr(10) || replace(replace(x, '\', '\b'), '<|', '\l|') || '<|im_end|>' || chr(10)) AS n FROM o
-), f AS (SELECT conv_id, win, min(idx) AS first FROM w GROUP BY 1, 2 HAVING min(idx) > 0
+), g AS (
+  SELECT *, (512 - kept) // 2 AS step, tokens > (512 - kept) // 2 AND (idx > 0 OR kept = 0) AS alone FROM h
+), w AS (
+  SELECT *, ((CASE WHEN idx = 0 THEN 0 ELSE before - kept END) // step) AS bin,
+    coalesce(sum(CAST(alone AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS large FROM g
+), f AS (
+  SELECT conv_id, bin, large, alone, min(idx) AS first, min(before) AS begun, min(kept) AS kept, 512 - sum(tokens) AS room FROM w GROUP BY 1, 2, 3, 4 HAVING min(idx) > 0
 ), c AS (
   SELECT conv_id, sum(n) AS n FROM (
     SELECT conv_id, n FROM w
-    UNION ALL SELECT w.conv_id, w.n FROM f JOIN w ON w.conv_id = f.conv_id AND w.idx BETWEEN f.first - 2 AND f.first - 1
-    UNION ALL SELECT w.conv_id, w.n FROM f JOIN w ON w.conv_id = f.conv_id AND f.first > 2 AND w.idx = 0 AND w.r = 'system'
+    UNION ALL SELECT w.conv_id, w.n FROM f JOIN w ON w.conv_id = f.conv_id AND w.idx = 0 WHERE f.kept > 0 AND f.room >= f.kept
+    UNION ALL SELECT w.conv_id, w.n FROM f JOIN w ON w.conv_id = f.conv_id AND w.idx BETWEEN greatest(CASE WHEN f.kept > 0 THEN 1 ELSE 0 END, f.first - 2) AND f.first - 1
+      WHERE f.begun - w.before <= f.room - (CASE WHEN f.room >= f.kept THEN f.kept ELSE 0 END)
   ) GROUP BY 1
 ), d AS (
   SELECT conv_id, count(*) AS n_turns, string_agg(r || chr(10) || x || chr(10), '' ORDER BY idx) AS turns, coalesce(string_agg(x, '' ORDER BY idx) FILTER (WHERE r = 'assistant'), '') AS loss FROM w GROUP BY 1

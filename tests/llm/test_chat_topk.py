@@ -35,14 +35,39 @@ def test_chat(spark, sf):
     got = chat.format_conversations(df, budget=100, history=2).collect()
     assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got} == expected_chat(rows)
     out = chat.windows(df.where("conv_id = 2000"), budget=200, history=2).orderBy("window").collect()
-    assert len(out) > 50 and out[0].n_context == 0 and all(w.n_context == 3 for w in out[1:])
-    assert all(w.formatted.startswith("<|im_start|>system\nturn 0 ") for w in out)
+    assert len(out) > 50 and out[0].n_context == 0 and all(w.tokens <= 200 for w in out)
+    assert all(w.formatted.startswith("<|im_start|>system\nturn 0 ") == (w.tokens > 84) for w in out[1:])
     for w in out:
         assert all(w.formatted[s.start - len("<|im_start|>assistant\n") : s.start] == "<|im_start|>assistant\n" for s in w.loss)
     assert sum(r.formatted_chars for r in got if r.conv_id == 2000) > sum(len(r[3]) for r in rows if r[0] == 2000)
     assert chat.format_conversations(df.limit(0)).count() == 0
 
 
+def test_windows_keep_the_budget(spark):
+    """Each window fits, context included; only one turn that is larger by itself does not."""
+    rng = random.Random(2)
+    rows = []
+    for c in range(60):
+        rows.append((c, 0, rng.choice(["system", "user"]), "s " * rng.choice((0, 3, 40, 49, 80, 120))))
+        rows += [(c, t, "assistant" if t % 2 == 0 else "user", "w " * rng.choice((0, 1, 5, 10, 20, 40, 60, 90, 97, 150))) for t in range(1, rng.randrange(2, 60))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    size = {c: {} for c in range(60)}
+    for c, t, r, x in rows:
+        size[c][t] = len(x.split()) + chat.TURN_TOKENS
+    systems = {c for c, t, r, x in rows if t == 0 and r == "system" and 2 * size[c][0] <= 100}
+    out = chat.windows(df, budget=100, history=2).collect()
+    assert len(out) > 300 and len(systems) > 10
+    for w in out:
+        turns = w.formatted.count("<|im_start|>")
+        assert w.tokens <= 100 or turns == 1
+    for c in systems:  # the system turn goes wherever there is room for it
+        own = [w for w in out if w.conv_id == c]
+        assert all(w.formatted.startswith("<|im_start|>system") for w in own if w.tokens + size[c][0] <= 100)
+    assert sum(w.n_context for w in out) > len(out) / 3
+    got = chat.format_conversations(df, budget=100, history=2).collect()
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got} == expected_chat(rows)
+
+
 def brute(rows, k, every):
     ok = {}
     for i, e in rows:
