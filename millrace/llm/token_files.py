@@ -11,6 +11,7 @@ Beside it lies an index file with a row for each document: doc_id, start, n_toke
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 import uuid
@@ -29,7 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import arrow_limits, only, shared_dir, texts
+from .common import Workspace, arrow_limits, only, texts
+from .ordering import prefix_sums, range_parts
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -38,7 +40,7 @@ END_ID = 1
 #: Ids of a sequence, and sequences of a record batch.
 SEQUENCE, BATCH_SEQUENCES = 2048, 32
 #: Bytes of text that a file is to hold, about.
-FILE_TEXT_BYTES = 24 << 20
+FILE_TEXT_BYTES = 256 << 20
 #: Chunks whose ids a worker keeps; beyond it only those that come again are carried on. Longer chunks are not kept.
 KEPT_CHUNKS, KEPT_CHARS = 400_000, 64
 
@@ -50,6 +52,20 @@ _CHUNKS = regex.compile(r"[^ \t\n\r]+").findall
 _MARKS = ".,!?:;"
 
 
+#: The normaliser and the split for which a text's ids are those of its chunks.
+_NORMALISER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
+@cache
+def splits_at_blanks(path: str) -> bool:
+    """Whether the vocabulary's normaliser and split are the known ones, and no added token takes white space; else whole texts go to the library."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    plain = all(not (t["lstrip"] or t["rstrip"] or t["normalized"] or regex.search(r"\s", t["content"])) for t in spec["added_tokens"])
+    return plain and spec["normalizer"] == _NORMALISER and spec["pre_tokenizer"] == _SPLIT and spec["post_processor"] is None and spec["truncation"] is None
+
+
 def _letters(word: str) -> bool:
     """Whether the word is still all letters when normalised (NFC, lower case); a combining mark would join what follows."""
     return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
@@ -63,13 +79,15 @@ def _library(path: str) -> Tokenizer:
 class Encoder:
     """Ids of texts by the tokenizers library, called once for each distinct chunk.
 
-    The vocabulary's normaliser and its split never look across plain white space,
-    which itself gives no ids, so a text's ids are those of its chunks in turn.
+    Where splits_at_blanks(), the normaliser and the split never look across plain
+    white space, which itself gives no ids, so a text's ids are those of its chunks in
+    turn. With any other vocabulary the library gets whole texts.
     """
 
     def __init__(self, path: str):
         self.path = path
-        self.id_type = "<u2" if _library(path).get_vocab_size() <= 1 << 16 else "<u4"
+        self.id_type = "<u2" if max(_library(path).get_vocab().values(), default=0) < 1 << 16 else "<u4"
+        self.by_chunk = splits_at_blanks(path)
         self.end = np.array([END_ID], self.id_type).tobytes()
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -81,6 +99,8 @@ class Encoder:
 
     def __call__(self, batch: list[str]) -> list[bytes]:
         """Each text's ids, packed little-endian in id_type, the end id last."""
+        if not self.by_chunk:
+            return [ids + self.end for ids in self._library_ids(batch)]
         if len(self.known) > KEPT_CHUNKS:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
@@ -175,12 +195,14 @@ def write_files(docs: DataFrame, folder: str, length: int = SEQUENCE, path: str
 
     Files follow ascending doc_id, null ids first; rows with equal ids stand by their
     texts' checksums. Empty and null texts are their end id alone. folder: a URI that
-    the driver and all executors reach.
+    the driver and all executors reach; whoever names it removes it. Rows of files stay
+    distributed, and so do the sums that give each file's base.
     """
     spark = docs.sparkSession
     fs, root = pafs.FileSystem.from_uri(folder)
     fs.create_dir(root, recursive=True)
     arrow_limits(spark)
+    space = Workspace(spark, "token-files")
     path = path or public_tokenizers.path(VOCABULARY)
     weight = docs.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     parts = max(1, -(-weight // FILE_TEXT_BYTES), min(weight // (1 << 20), spark.sparkContext.defaultParallelism))
@@ -201,12 +223,10 @@ def write_files(docs: DataFrame, folder: str, length: int = SEQUENCE, path: str
     order = [F.col("doc_id").asc_nulls_first(), F.col("same")]
     dealt = docs.repartitionByRange(parts, *order).sortWithinPartitions(*order)  # texts move: they pack better than ids
     written = dealt.select(F.spark_partition_id().cast("bigint").alias("part"), "doc_id", "text").mapInArrow(run, "part bigint, n_tokens bigint")
-    rows = sorted(written.collect())  # a row for each file
-    base, out = 0, []
-    for part, n in rows:
-        out.append((part, base, n))
-        base += n
-    return spark.createDataFrame(out, "part bigint, base bigint, n_tokens bigint").repartition(max(1, len(out)), "part")
+    files = space.save(written.withColumn("all", F.lit(0)), "files")  # a row for each file
+    order = [F.col("all"), F.col("part")]
+    based = prefix_sums(range_parts(files, order, space, "parted"), "all", order[1:], {"base": F.col("n_tokens")})
+    return based.select("part", "base", "n_tokens").repartitionByRange(parts, "part")
 
 
 class TokenFile:
@@ -268,7 +288,7 @@ def read_documents(files: DataFrame, folder: str) -> DataFrame:
 
 def round_trip(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Writes docs to token files in the shared folder and reads every document back from them."""
-    folder = f"{shared_dir(spark)}/millrace-tokens-{uuid.uuid4().hex}"
+    folder = Workspace(spark, "tokens").path("files")  # removed when the driver ends
     if folder.startswith("/"):
         folder = f"file://{folder}"
     return read_documents(write_files(docs, folder), folder)

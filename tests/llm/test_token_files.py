@@ -50,3 +50,19 @@ def test_letters_that_end_in_a_combining_mark():
     got = tf.Encoder(P.path(tf.VOCABULARY))(odd)
     want = [e.ids + [1] for e in LIB.encode_batch_fast(odd, add_special_tokens=False)]
     assert [np.frombuffer(g, "<u2").tolist() for g in got] == want
+
+
+def test_another_vocabulary_gets_whole_texts(tmp_path):
+    """A split that looks across blanks: ids are the library's own, chunks are not used."""
+    import json
+
+    spec = json.load(open(P.path(tf.VOCABULARY)))
+    spec["normalizer"] = {"type": "Lowercase"}
+    spec["pre_tokenizer"]["pretokenizers"][0]["pattern"] = {"Regex": "[a-z]+ [a-z]+|[a-z]+|[^a-z]+"}
+    path = str(tmp_path / "own.json")
+    json.dump(spec, open(path, "w"))
+    docs = ["two words and three", "", "A b, c", "x" * 500]
+    got = tf.Encoder(path)(docs)
+    lib = Tokenizer.from_file(path)
+    assert tf.splits_at_blanks(P.path(tf.VOCABULARY)) and not tf.splits_at_blanks(path)
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == [lib.encode(t, add_special_tokens=False).ids + [1] for t in docs]
