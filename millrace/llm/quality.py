@@ -1,10 +1,11 @@
 """Quality by co-training: a view of a document's content and a view of its metadata teach each other.
 
-The content view sees the words: their variety, repetition and make-up. The metadata
-view sees what is known of the page without reading it: source, language, lengths and
-the layout of its lines. Both are logistic regressions over binned measures. In each
-round either view labels the unlabelled rows that it is surest of for the other one;
-at the end both are calibrated on rows that neither has learnt from, and combined.
+The content view sees the words: hashed words and word pairs weighed by how much
+oftener good texts have them, and the words' variety, repetition and make-up. The
+metadata view reads no word: source, language, size and the layout of the lines. Both
+are logistic regressions over binned measures. In each round either view labels the
+unlabelled rows that it is surest of for the other one; at the end both are calibrated
+on rows that neither has learnt from, and combined.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, arrow_limits, is_held_out, only
+from .common import Workspace, arrow_limits, is_held_out, mix64, only
 
 #: Most labelled and most unlabelled rows that are learnt from, chosen by hash.
 LABELLED, POOL = 16_000, 8_000
@@ -28,6 +29,8 @@ LABELLED, POOL = 16_000, 8_000
 ROUNDS, GIVES, SURE = 5, 0.05, 0.95
 #: Bins of a measure; hashed names of sources; penalty.
 BINS, SOURCES, L2 = 8, 64, 1.0
+#: Hashed words and word pairs; rows that each class is taken to have more of any of them; the weights' bound.
+GRAMS, PRIOR_ROWS, MOST = 1 << 16, 10.0, 3.0
 #: Below this score a document is rejected. Under one half: a clean document lost costs more than a poor one kept.
 THRESHOLD = 0.4
 
@@ -35,9 +38,16 @@ _SYMBOLS = [b for b in range(33, 127) if not chr(b).isalnum()]
 _STOPS = [ord(c) for c in ".,;:!?"]
 
 
-def content(text: str, hist: np.ndarray) -> list[float]:
+def grams(words: list[str]) -> np.ndarray:
+    """Hashes of a text's distinct words and of its distinct pairs of neighbours, case apart."""
+    own = {w: zlib.crc32(w.encode()) for w in set(words)}
+    codes = np.fromiter(map(own.__getitem__, words), np.uint64, len(words))
+    pairs = mix64(codes[:-1] * np.uint64(0x9E3779B1) + codes[1:]) if len(codes) > 1 else codes[:0]
+    return np.unique(np.concatenate([codes % np.uint64(GRAMS), pairs % np.uint64(GRAMS)])).astype(np.uint16)
+
+
+def content(text: str, words: list[str], hist: np.ndarray) -> list[float]:
     """Measures of the words."""
-    words = text.split()
     n = len(words)
     counts = Counter(words)
     letters = max(1, len(text))
@@ -45,11 +55,10 @@ def content(text: str, hist: np.ndarray) -> list[float]:
     symbols, stops = int(hist[_SYMBOLS].sum()), int(hist[_STOPS].sum())
     top = counts.most_common(1)[0][1] if n else 0
     return [
-        log1p(n),
         len(counts) / max(1, n) ** 0.8,  # variety falls with length
         top / max(1, n),
         sum(map(operator.eq, words, words[1:])) / max(1, n),
-        letters / max(1, n),
+        sum(map(len, words)) / max(1, n),
         upper / letters,
         digits / letters,
         (symbols - stops) / letters,
@@ -58,8 +67,8 @@ def content(text: str, hist: np.ndarray) -> list[float]:
     ]
 
 
-def metadata(text: str, n_bytes: int, hist: np.ndarray) -> list[float]:
-    """Measures of the page's lengths and lines."""
+def metadata(text: str, n_bytes: int) -> list[float]:
+    """Measures of the page's size and lines, without its words."""
     lines = text.split("\n")
     sizes = np.fromiter(map(len, lines), np.float64, len(lines))
     full = max(1, int((sizes > 0).sum()))
@@ -73,47 +82,111 @@ def metadata(text: str, n_bytes: int, hist: np.ndarray) -> list[float]:
         float((sizes < 30).mean()),
         len(set(lines)) / len(lines),
         ends / full,
-        int(hist[124]) / max(1, len(text)),
-        int(hist[32]) / max(1, len(text)),
     ]
 
 
-N_CONTENT, N_META = 10, 10
+N_CONTENT, N_META = 9, 8
+
+
+class Rows:
+    """Rows of one view: measures, and for the content view their grams."""
+
+    def __init__(self, x: np.ndarray, grams: list[np.ndarray] | None = None):
+        self.x = x
+        self.sizes = np.array([len(g) for g in grams], np.int64) if grams is not None else None
+        self.flat = np.concatenate(grams).astype(np.int64) if grams else np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.x)
+
+    def of(self, pick: np.ndarray) -> Rows:
+        pick = np.flatnonzero(pick) if pick.dtype == bool else pick
+        out = Rows(self.x[pick])
+        if self.sizes is not None:
+            ends = np.cumsum(self.sizes)
+            out.sizes = self.sizes[pick]
+            out.flat = np.concatenate([self.flat[ends[i] - self.sizes[i] : ends[i]] for i in pick.tolist()]) if len(pick) else np.zeros(0, np.int64)
+        return out
+
+    def __add__(self, more: Rows) -> Rows:
+        out = Rows(np.concatenate([self.x, more.x]))
+        if self.sizes is not None:
+            out.sizes, out.flat = np.concatenate([self.sizes, more.sizes]), np.concatenate([self.flat, more.flat])
+        return out
 
 
-def features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Both views' measures of rows (text, source, lang); the metadata view ends with the codes of source and language."""
-    a, b = [], []
+def features(batch: pa.RecordBatch) -> tuple[Rows, Rows]:
+    """Both views' rows of (text, source, lang); the metadata view ends with the codes of source and language."""
+    a, g, b = [], [], []
     for text, source, lang in zip(*(batch.column(k).to_pylist() for k in range(3))):
         text = text or ""
-        raw = text.encode()
+        raw, words = text.encode(), text.split()
         hist = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
-        a.append(content(text, hist))
-        b.append(metadata(text, len(raw), hist) + [float(zlib.crc32((source or "").encode()) % SOURCES), float(zlib.crc32((lang or "").encode()) % SOURCES)])
-    return np.array(a, np.float32).reshape(-1, N_CONTENT), np.array(b, np.float32).reshape(-1, N_META + 2)
+        a.append(content(text, words, hist))
+        g.append(grams(words))
+        b.append(metadata(text, len(raw)) + [float(zlib.crc32((source or "").encode()) % SOURCES), float(zlib.crc32((lang or "").encode()) % SOURCES)])
+    return Rows(np.array(a, np.float32).reshape(-1, N_CONTENT), g), Rows(np.array(b, np.float32).reshape(-1, N_META + 2))
+
+
+class Lexicon:
+    """For each gram, the log of how much likelier a good row has it than a poor one."""
+
+    def __init__(self, rows: Rows, y: np.ndarray, weight: np.ndarray):
+        each = np.repeat(np.arange(len(rows)), rows.sizes)
+        n = [np.bincount(rows.flat, ((y == k) * weight)[each], GRAMS) for k in (0, 1)]
+        total = [((y == k) * weight).sum() for k in (0, 1)]
+        share = (n[0] + n[1] + PRIOR_ROWS) / (sum(total) + 2 * PRIOR_ROWS)
+        odds = [np.log((n[k] + PRIOR_ROWS * share) / (total[k] + PRIOR_ROWS)) for k in (0, 1)]
+        self.weights = np.clip(odds[1] - odds[0], -MOST, MOST)
+
+    def __call__(self, rows: Rows) -> np.ndarray:
+        """The mean weight of each row's grams; none: 0."""
+        out, full = np.zeros(len(rows)), rows.sizes > 0
+        if full.any():
+            starts = (np.cumsum(rows.sizes) - rows.sizes)[full]
+            out[full] = np.add.reduceat(self.weights[rows.flat], starts) / rows.sizes[full]
+        return out
 
 
 class View:
     """Logistic regression on measures cut into bins by the sample's quantiles, and on coded names."""
 
-    def __init__(self, sample: np.ndarray, names: int):
-        self.n = sample.shape[1] - names
-        self.cuts = [np.unique(np.quantile(sample[:, k], np.linspace(0, 1, BINS + 1)[1:-1])) for k in range(self.n)]
-        # the tails matter most: cut them finely too
-        self.cuts = [np.unique(np.concatenate([c, np.quantile(sample[:, k], [0.01, 0.03, 0.97, 0.99])])) for k, c in enumerate(self.cuts)]
-        self.sizes = [len(c) + 1 for c in self.cuts] + [SOURCES] * names
-        self.offsets = np.concatenate([[0], np.cumsum(self.sizes)]).astype(int)
-        self.weights = np.zeros(self.offsets[-1] + 1)
+    def __init__(self, sample: Rows, names: int):
+        self.n, self.names = sample.x.shape[1] - names, names
+        self.cuts = [self._cuts(sample.x[:, k]) for k in range(self.n)]
+        self.lexicon: Lexicon | None = None
         self.slope, self.shift = 1.0, 0.0
 
-    def codes(self, x: np.ndarray) -> np.ndarray:
-        own = [np.searchsorted(c, x[:, k], "right") for k, c in enumerate(self.cuts)]
-        own += [x[:, k].astype(int) for k in range(self.n, x.shape[1])]
-        return np.stack(own, 1) + self.offsets[:-1] if len(x) else np.zeros((0, len(self.sizes)), int)
-
-    def fit(self, codes: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 12) -> None:
-        """Newton steps on the log loss; each row counts by its weight."""
-        x = np.zeros((len(codes), self.offsets[-1] + 1))
+    @staticmethod
+    def _cuts(x: np.ndarray) -> np.ndarray:
+        # the tails matter most: cut them finely too
+        return np.unique(np.quantile(x, [0.01, 0.03, *np.linspace(0, 1, BINS + 1)[1:-1], 0.97, 0.99])) if len(x) else np.zeros(0)
+
+    def _codes(self, rows: Rows, lexical: np.ndarray | None) -> np.ndarray:
+        own = [np.searchsorted(c, rows.x[:, k], "right") for k, c in enumerate(self.cuts)]
+        sizes = [len(c) + 1 for c in self.cuts]
+        if lexical is not None:
+            own.append(np.searchsorted(self.lexical_cuts, lexical, "right"))
+            sizes.append(len(self.lexical_cuts) + 1)
+        own += [rows.x[:, k].astype(int) for k in range(self.n, rows.x.shape[1])]
+        sizes += [SOURCES] * self.names
+        self.ends = np.concatenate([[0], np.cumsum(sizes)]).astype(int)
+        return np.stack(own, 1) + self.ends[:-1] if len(rows) else np.zeros((0, len(sizes)), int)
+
+    def fit(self, rows: Rows, y: np.ndarray, weight: np.ndarray, rounds: int = 12) -> None:
+        """Newton steps on the log loss; each row counts by its weight.
+
+        A row's grams are weighed by the lexicon of the other half of the rows, so that
+        the regression does not take what was learnt from a row for evidence on it.
+        """
+        lexical = None
+        if rows.sizes is not None:
+            half, lexical = np.arange(len(rows)) % 2 == 0, np.zeros(len(rows))
+            for part in (half, ~half):
+                lexical[part] = Lexicon(rows.of(~part), y[~part], weight[~part])(rows.of(part))
+            self.lexical_cuts, self.lexicon = self._cuts(lexical), Lexicon(rows, y, weight)
+        codes = self._codes(rows, lexical)
+        x = np.zeros((len(codes), self.ends[-1] + 1))
         np.put_along_axis(x, codes, 1.0, 1)
         x[:, -1] = 1
         w = np.zeros(x.shape[1])
@@ -128,12 +201,12 @@ class View:
                 break
         self.weights = w
 
-    def raw(self, codes: np.ndarray) -> np.ndarray:
-        return self.weights[codes].sum(1) + self.weights[-1]
+    def raw(self, rows: Rows) -> np.ndarray:
+        return self.weights[self._codes(rows, self.lexicon(rows) if self.lexicon else None)].sum(1) + self.weights[-1]
 
-    def calibrate(self, codes: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
+    def calibrate(self, rows: Rows, y: np.ndarray, weight: np.ndarray) -> None:
         """Slope and shift of the raw score that suit rows it has not learnt from."""
-        z = self.raw(codes)
+        z = self.raw(rows)
         x, w = np.stack([z, np.ones(len(z))], 1), np.array([1.0, 0.0])
         for _ in range(25):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -141,8 +214,8 @@ class View:
             w -= np.linalg.solve(h, x.T @ (weight * (p - y)) + 1e-2 * (w - [1, 0]))
         self.slope, self.shift = max(0.0, float(w[0])), float(w[1])
 
-    def logit(self, codes: np.ndarray) -> np.ndarray:
-        return np.clip(self.slope * self.raw(codes) + self.shift, -12, 12)
+    def logit(self, rows: Rows) -> np.ndarray:
+        return np.clip(self.slope * self.raw(rows) + self.shift, -12, 12)
 
 
 class Judge:
@@ -151,33 +224,31 @@ class Judge:
     def __init__(self, content_view: View | None, meta_view: View | None, prior: float):
         self.views, self.prior = (content_view, meta_view), prior
 
-    def scores(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def scores(self, a: Rows, b: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Combined score and each view's own: log odds add up, less the share that both count."""
         if self.views[0] is None:
             same = np.full(len(a), 1 / (1 + np.exp(-self.prior)))
             return same, same, same
-        own = [v.logit(v.codes(x)) for v, x in zip(self.views, (a, b))]
+        own = [v.logit(x) for v, x in zip(self.views, (a, b))]
         both = own[0] + own[1] - self.prior
         return tuple(1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in (both, *own))
 
 
-def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, fold: np.ndarray, pool_a: np.ndarray, pool_b: np.ndarray, counts: tuple[float, float] = (1.0, 1.0)) -> Judge:
+def co_train(a: Rows, b: Rows, y: np.ndarray, fold: np.ndarray, pool_a: Rows, pool_b: Rows, counts: tuple[float, float] = (1.0, 1.0)) -> Judge:
     """y: 1, 0; fold: rows kept for calibration; counts: rows that one of class 0 and one of class 1 stand for."""
     if len(y) == 0 or y.min() == y.max():
         return Judge(None, None, 0.0 if not len(y) else 3.0 if y[0] else -3.0)
     weight = np.where(y == 1, counts[1], counts[0])
     weight = weight / weight.mean()  # as many rows as there are, in the classes' own shares
     share = float((weight * y).mean())
-    every = [np.concatenate([a, pool_a]), np.concatenate([b, pool_b])]
-    views = [View(every[0], 0), View(every[1], 2)]
+    views = [View(a + pool_a, 0), View(b + pool_b, 2)]
     learn = ~fold if len(set(y[~fold])) == 2 and len(set(y[fold])) == 2 else np.ones(len(y), bool)
-    known = [v.codes(x) for v, x in zip(views, (a, b))]
-    pool = [v.codes(x) for v, x in zip(views, (pool_a, pool_b))]
-    codes, marks, weights = [known[0][learn], known[1][learn]], [y[learn], y[learn]], [weight[learn], weight[learn]]
+    pool = [pool_a, pool_b]
+    rows, marks, weights = [a.of(learn), b.of(learn)], [y[learn], y[learn]], [weight[learn], weight[learn]]
     free = [np.ones(len(pool_a), bool), np.ones(len(pool_a), bool)]
     for _ in range(ROUNDS):
-        for v, c, m, u in zip(views, codes, marks, weights):
-            v.fit(c, m, u)
+        for v, r, m, u in zip(views, rows, marks, weights):
+            v.fit(r, m, u)
         for k, other in ((0, 1), (1, 0)):  # k labels for the other
             p = 1 / (1 + np.exp(-views[k].raw(pool[k])))
             for sure, mark in ((p, 1.0), (1 - p, 0.0)):
@@ -185,13 +256,13 @@ def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, fold: np.ndarray, pool
                 can = np.flatnonzero(free[other] & (sure >= SURE))
                 take = can[np.argsort(-sure[can], kind="stable")[: int(GIVES * len(p) * part) + 1]]
                 free[other][take] = False
-                codes[other] = np.concatenate([codes[other], pool[other][take]])
+                rows[other] = rows[other] + pool[other].of(take)
                 marks[other] = np.concatenate([marks[other], np.full(len(take), mark)])
                 weights[other] = np.concatenate([weights[other], np.ones(len(take))])
     rest = ~learn if not learn.all() else learn
-    for v, c, m, u, own in zip(views, codes, marks, weights, known):
-        v.fit(c, m, u)
-        v.calibrate(own[rest], y[rest], weight[rest])
+    for v, r, m, u, own in zip(views, rows, marks, weights, (a, b)):
+        v.fit(r, m, u)
+        v.calibrate(own.of(rest), y[rest], weight[rest])
     return Judge(*views, float(np.log(share / (1 - share))))
 
 
@@ -216,17 +287,19 @@ def train(docs: DataFrame, labels: DataFrame) -> Judge:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = features(batch)
-            yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(4), pa.array([x.tobytes() for x in a], pa.binary()), pa.array([x.tobytes() for x in b], pa.binary())], ["id", "y", "a", "b"])
+            ends = np.cumsum(a.sizes)
+            found = [a.flat[e - n : e].astype(np.uint16).tobytes() for e, n in zip(ends.tolist(), a.sizes.tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(4), *(pa.array([x.tobytes() for x in r.x], pa.binary()) for r in (a, b)), pa.array(found, pa.binary())], ["id", "y", "a", "b", "g"])
 
     joined = docs.join(F.broadcast(chosen), docs.doc_id == chosen["_id"])  # LABELLED + POOL rows at most
-    found = joined.select("text", "source", "lang", "_id", "y").mapInArrow(run, "id bigint, y double, a binary, b binary").dropDuplicates(["id"])
+    found = joined.select("text", "source", "lang", "_id", "y").mapInArrow(run, "id bigint, y double, a binary, b binary, g binary").dropDuplicates(["id"])
     rows = found.toPandas().sort_values("id")
-    a = np.frombuffer(b"".join(rows["a"]), np.float32).reshape(-1, N_CONTENT)
-    b = np.frombuffer(b"".join(rows["b"]), np.float32).reshape(-1, N_META + 2)
+    a = Rows(np.frombuffer(b"".join(rows["a"]), np.float32).reshape(-1, N_CONTENT), [np.frombuffer(x, np.uint16) for x in rows["g"]])
+    b = Rows(np.frombuffer(b"".join(rows["b"]), np.float32).reshape(-1, N_META + 2))
     y, fold = rows["y"].to_numpy(), np.array([zlib.crc32(b"%d" % i) // 3 % 4 == 0 for i in rows["id"]], bool)
     space.drop("chosen")
     know = y >= 0
-    return co_train(a[know], b[know], y[know], fold[know], a[~know], b[~know], counts)
+    return co_train(a.of(know), b.of(know), y[know], fold[know], a.of(~know), b.of(~know), counts)
 
 
 def score(docs: DataFrame, judge: Judge) -> DataFrame:
