@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -25,7 +26,7 @@ BROADCAST_ROWS = 500_000
 
 @cache
 def _local_folder() -> str:
-    """Only where spark.checkpoint.dir is unset, as in tests on one machine."""
+    """Only where spark.checkpoint.dir is unset and all runs on one machine, as in tests."""
     path = tempfile.mkdtemp(prefix="millrace-")
     atexit.register(shutil.rmtree, path, ignore_errors=True)
     return f"file://{path}"
@@ -33,7 +34,10 @@ def _local_folder() -> str:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: spark.checkpoint.dir of the session."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _local_folder()).rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
+    return (named or _local_folder()).rstrip("/")
 
 
 def arrow_limits(spark: SparkSession, rows: int = BATCH_ROWS) -> None:

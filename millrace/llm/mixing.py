@@ -79,23 +79,36 @@ def mix(docs: DataFrame, share: float = 1.0, seed: int = SEED) -> DataFrame:
 
 
 
-
 def mixed(docs: DataFrame, share: float = 1.0, seed: int = SEED) -> DataFrame:
     """docs as the mix takes them: rows it takes nothing of go, others come once for each pass.
 
     Where a source's budget ends inside a document, the last copy holds its first words,
-    joined by single blanks; n_chars, if there, follows. Rows alike in id and text come
-    alike often.
+    joined by single blanks; n_chars, if there, follows. Rows alike in id and text share
+    what the mix takes of them all, whichever comes first. Rows of null or empty texts
+    go. Further columns of any name come along; an empty table stays empty.
     """
-    plan = mix(docs, share, seed).where("taken > 0").groupBy("doc_id", "same").agg(F.max("taken").alias("_taken"), F.max("size").alias("_size"))
-    plan = plan.select(F.col("doc_id").alias("_id"), F.col("same").alias("_same"), "_taken", "_size")
-    rows = docs.withColumn("_md5", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    rows = rows.join(plan, rows.doc_id.cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_md5") == F.col("_same")))
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int"))))
-    left = F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")
-    cut = F.concat_ws(" ", F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), left.cast("int")))
-    text = F.when(left < F.col("_size"), cut).otherwise(F.col("text"))
-    out = []
-    for c in docs.columns:
-        out.append(text.alias(c) if c == "text" else F.when(left < F.col("_size"), F.length(cut).cast("bigint")).otherwise(F.col("n_chars")).alias(c) if c == "n_chars" else F.col(f"`{c}`"))
-    return rows.select(*out)
+    space = Workspace(docs.sparkSession, "mixed")
+    plan = mix(docs, share, seed).where("size > 0").groupBy("doc_id", "same").agg(F.sum("taken").alias("total"), F.max("size").alias("size"), F.count("*").alias("n"))
+    plan = space.save(plan.where("total > 0").withColumnRenamed("same", "same_text").withColumnRenamed("doc_id", "id"), "plan")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = rows.withColumn("same", F.md5(F.coalesce("row.text", F.lit("")).cast("binary")))
+    rows = rows.join(plan, F.col("row.doc_id").cast("bigint").eqNullSafe(F.col("id")) & (F.col("same") == F.col("same_text"))).drop("same_text")
+    single = rows.where("n = 1").withColumn("number", F.lit(0).cast("bigint"))
+    if not plan.where("n > 1").isEmpty():  # rows alike are numbered, however many there are
+        alike = space.save(rows.where("n > 1").withColumn("tie", F.monotonically_increasing_id()).withColumn("all", F.lit(0)), "alike")
+        order = [F.col("all"), F.col("id").asc_nulls_first(), F.col("same"), F.col("tie")]
+        parted = range_parts(alike, order, space, "alike-parted")
+        first = parted.groupBy(F.col("id").alias("_i"), F.col("same").alias("_s")).agg(F.min("tie").alias("_t"))
+        placed = prefix_sums(parted, "all", order[1:], {"place": F.lit(1).cast("bigint")})
+        starts = space.save(placed.join(first, F.col("id").eqNullSafe(F.col("_i")) & (F.col("same") == F.col("_s")) & (F.col("tie") == F.col("_t"))).select("_i", "_s", F.col("place").alias("start")), "alike-starts")
+        placed = placed.join(starts, F.col("id").eqNullSafe(F.col("_i")) & (F.col("same") == F.col("_s"))).withColumn("number", F.col("place") - F.col("start"))
+        single = single.unionByName(placed.select(*single.columns))
+    whole = F.expr("total div (n * size)")
+    rest = F.expr("total - total div (n * size) * n * size")
+    taken = (whole * F.col("size") + F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col("number") * F.col("size")))).cast("bigint")
+    rows = single.withColumn("taken", taken).where("taken > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))))
+    left = F.col("taken") - (F.col("copy") - 1) * F.col("size")
+    cut = F.concat_ws(" ", F.slice(F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0)), F.lit(1), left.cast("int")))
+    short = left < F.col("size")
+    new = {"text": F.when(short, cut).otherwise(F.col("row.text")), "n_chars": F.when(short, F.length(cut).cast("bigint")).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None}
+    return rows.select(*((F.col(f"row.`{c}`") if new.get(c) is None else new[c]).alias(c) for c in docs.columns))

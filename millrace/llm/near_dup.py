@@ -378,13 +378,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 def without_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs, all columns as they are, of which one for each class stays.
 
-    Of repeated doc_ids one row stays, whichever; rows with a null doc_id all stay.
+    Of repeated doc_ids one row stays, whichever; rows with a null doc_id, and one row for
+    each doc_id without words, all stay. Further columns of any name come along.
     Few rejected ids are broadcast, after a count; else the texts are joined by shuffle.
     """
     space = Workspace(docs.sparkSession, "near-dup-kept")
     found = space.save(near_duplicates(docs, words, percent).where("doc_id is not null").groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n")), "found")
     gone = found.where("not kept").select(F.col("doc_id").alias("_gone"))
     if gone.count() <= BROADCAST_ROWS and found.where("n > 1").isEmpty():
-        return docs.join(F.broadcast(gone), docs.doc_id == F.col("_gone"), "left_anti")
+        return docs.join(F.broadcast(gone), docs.doc_id == gone["_gone"], "left_anti")
     kept = docs.where("doc_id is not null").join(found.where("kept").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).unionAll(docs.where("doc_id is null"))
+    return only(kept, *docs.columns).unionAll(docs.where("doc_id is null"))
