@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -13,16 +14,27 @@ from pyspark.sql import SparkSession
 
 @cache
 def _local_folder() -> str:
-    """Only where spark.checkpoint.dir is unset, as on one machine."""
+    """Only where spark.checkpoint.dir is unset and all runs on one machine, as in tests."""
     path = tempfile.mkdtemp(prefix="millrace-")
     atexit.register(shutil.rmtree, path, ignore_errors=True)
     return f"file://{path}"
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder's path in the shared folder that spark.checkpoint.dir names."""
-    base = (spark.conf.get("spark.checkpoint.dir", None) or _local_folder()).rstrip("/")
-    return f"{base}/millrace-{label}-{uuid.uuid4().hex}"
+    """A new folder's path in the shared folder that spark.checkpoint.dir names; it goes when the driver ends."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
+    path = f"{(named or _local_folder()).rstrip('/')}/millrace-{label}-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, path)
+    return path
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    try:
+        delete(spark, path)
+    except Exception:  # the JVM may be gone at exit; nothing is left to do then
+        pass
 
 
 def _fs(spark: SparkSession, path: str):
@@ -53,14 +65,16 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Written beside and renamed, so that a reader never sees half a file."""
-    fs, target = _fs(spark, path)
-    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
-    stream = fs.create(beside, True)
+    """Written beside and renamed over the old file in one step, so that a reader sees the old text or the new one."""
+    jvm = spark._jvm
+    beside = f"{path}.{uuid.uuid4().hex}.tmp"
+    fs, source = _fs(spark, beside)
+    stream = fs.create(source, True)
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
-    if fs.exists(target):
-        fs.delete(target, False)
-    fs.rename(beside, target)
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(source, target, options)
