@@ -30,7 +30,9 @@ ROUNDS, GIVES, SURE = 5, 0.05, 0.95
 #: Bins of a measure; hashed names of sources; penalty.
 BINS, SOURCES, L2 = 8, 64, 1.0
 #: Hashed words and word pairs; rows that each class is taken to have more of any of them; the weights' bound.
-GRAMS, PRIOR_ROWS, MOST = 1 << 16, 10.0, 3.0
+GRAMS, PRIOR_ROWS, MOST = 1 << 15, 10.0, 3.0
+#: Rows whose grams are unpacked at once.
+UNPACKED = 512
 #: Below this score a document is rejected. Under one half: a clean document lost costs more than a poor one kept.
 THRESHOLD = 0.4
 
@@ -38,12 +40,29 @@ _SYMBOLS = [b for b in range(33, 127) if not chr(b).isalnum()]
 _STOPS = [ord(c) for c in ".,;:!?"]
 
 
-def grams(words: list[str]) -> np.ndarray:
-    """Hashes of a text's distinct words and of its distinct pairs of neighbours, case apart."""
+def grams(words: list[str]) -> bytes:
+    """Hashes of a text's distinct words and of its distinct pairs of neighbours, case apart; packed.
+
+    Few are listed in 16 bits each, more than fit in GRAMS / 8 bytes are kept as one bit for each hash.
+    """
     own = {w: zlib.crc32(w.encode()) for w in set(words)}
     codes = np.fromiter(map(own.__getitem__, words), np.uint64, len(words))
     pairs = mix64(codes[:-1] * np.uint64(0x9E3779B1) + codes[1:]) if len(codes) > 1 else codes[:0]
-    return np.unique(np.concatenate([codes % np.uint64(GRAMS), pairs % np.uint64(GRAMS)])).astype(np.uint16)
+    return packed(np.unique(np.concatenate([codes % np.uint64(GRAMS), pairs % np.uint64(GRAMS)])))
+
+
+def packed(found: np.ndarray) -> bytes:
+    if 2 * len(found) < GRAMS // 8:
+        return found.astype(np.uint16).tobytes()
+    bits = np.zeros(GRAMS, bool)
+    bits[found.astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def unpacked(own: bytes) -> np.ndarray:
+    if len(own) < GRAMS // 8:
+        return np.frombuffer(own, np.uint16).astype(np.int64)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(own, np.uint8)))
 
 
 def content(text: str, words: list[str], hist: np.ndarray) -> list[float]:
@@ -89,30 +108,26 @@ N_CONTENT, N_META = 9, 8
 
 
 class Rows:
-    """Rows of one view: measures, and for the content view their grams."""
+    """Rows of one view: measures, and for the content view their packed grams."""
 
-    def __init__(self, x: np.ndarray, grams: list[np.ndarray] | None = None):
-        self.x = x
-        self.sizes = np.array([len(g) for g in grams], np.int64) if grams is not None else None
-        self.flat = np.concatenate(grams).astype(np.int64) if grams else np.zeros(0, np.int64)
+    def __init__(self, x: np.ndarray, grams: list[bytes] | None = None):
+        self.x, self.grams = x, grams
 
     def __len__(self) -> int:
         return len(self.x)
 
     def of(self, pick: np.ndarray) -> Rows:
         pick = np.flatnonzero(pick) if pick.dtype == bool else pick
-        out = Rows(self.x[pick])
-        if self.sizes is not None:
-            ends = np.cumsum(self.sizes)
-            out.sizes = self.sizes[pick]
-            out.flat = np.concatenate([self.flat[ends[i] - self.sizes[i] : ends[i]] for i in pick.tolist()]) if len(pick) else np.zeros(0, np.int64)
-        return out
+        return Rows(self.x[pick], None if self.grams is None else [self.grams[i] for i in pick.tolist()])
 
     def __add__(self, more: Rows) -> Rows:
-        out = Rows(np.concatenate([self.x, more.x]))
-        if self.sizes is not None:
-            out.sizes, out.flat = np.concatenate([self.sizes, more.sizes]), np.concatenate([self.flat, more.flat])
-        return out
+        return Rows(np.concatenate([self.x, more.x]), None if self.grams is None else self.grams + more.grams)
+
+    def blocks(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """Some rows at a time: which, their numbers of grams, and their grams one after the other."""
+        for at in range(0, len(self), UNPACKED):
+            own = [unpacked(g) for g in self.grams[at : at + UNPACKED]]
+            yield slice(at, at + len(own)), np.array([len(g) for g in own]), np.concatenate(own)
 
 
 def features(batch: pa.RecordBatch) -> tuple[Rows, Rows]:
@@ -132,8 +147,10 @@ class Lexicon:
     """For each gram, the log of how much likelier a good row has it than a poor one."""
 
     def __init__(self, rows: Rows, y: np.ndarray, weight: np.ndarray):
-        each = np.repeat(np.arange(len(rows)), rows.sizes)
-        n = [np.bincount(rows.flat, ((y == k) * weight)[each], GRAMS) for k in (0, 1)]
+        n = np.zeros((2, GRAMS))
+        for part, sizes, flat in rows.blocks():
+            for k in (0, 1):
+                n[k] += np.bincount(flat, np.repeat((y[part] == k) * weight[part], sizes), GRAMS)
         total = [((y == k) * weight).sum() for k in (0, 1)]
         share = (n[0] + n[1] + PRIOR_ROWS) / (sum(total) + 2 * PRIOR_ROWS)
         odds = [np.log((n[k] + PRIOR_ROWS * share) / (total[k] + PRIOR_ROWS)) for k in (0, 1)]
@@ -141,19 +158,22 @@ class Lexicon:
 
     def __call__(self, rows: Rows) -> np.ndarray:
         """The mean weight of each row's grams; none: 0."""
-        out, full = np.zeros(len(rows)), rows.sizes > 0
-        if full.any():
-            starts = (np.cumsum(rows.sizes) - rows.sizes)[full]
-            out[full] = np.add.reduceat(self.weights[rows.flat], starts) / rows.sizes[full]
+        out = np.zeros(len(rows))
+        for part, sizes, flat in rows.blocks():
+            full = sizes > 0
+            if full.any():
+                sums = np.zeros(len(sizes))
+                sums[full] = np.add.reduceat(self.weights[flat], (np.cumsum(sizes) - sizes)[full])
+                out[part] = sums / np.maximum(1, sizes)
         return out
 
 
 class View:
     """Logistic regression on measures cut into bins by the sample's quantiles, and on coded names."""
 
-    def __init__(self, sample: Rows, names: int):
-        self.n, self.names = sample.x.shape[1] - names, names
-        self.cuts = [self._cuts(sample.x[:, k]) for k in range(self.n)]
+    def __init__(self, sample: np.ndarray, names: int):
+        self.n, self.names = sample.shape[1] - names, names
+        self.cuts = [self._cuts(sample[:, k]) for k in range(self.n)]
         self.lexicon: Lexicon | None = None
         self.slope, self.shift = 1.0, 0.0
 
@@ -180,7 +200,7 @@ class View:
         the regression does not take what was learnt from a row for evidence on it.
         """
         lexical = None
-        if rows.sizes is not None:
+        if rows.grams is not None:
             half, lexical = np.arange(len(rows)) % 2 == 0, np.zeros(len(rows))
             for part in (half, ~half):
                 lexical[part] = Lexicon(rows.of(~part), y[~part], weight[~part])(rows.of(part))
@@ -241,7 +261,7 @@ def co_train(a: Rows, b: Rows, y: np.ndarray, fold: np.ndarray, pool_a: Rows, po
     weight = np.where(y == 1, counts[1], counts[0])
     weight = weight / weight.mean()  # as many rows as there are, in the classes' own shares
     share = float((weight * y).mean())
-    views = [View(a + pool_a, 0), View(b + pool_b, 2)]
+    views = [View(np.concatenate([a.x, pool_a.x]), 0), View(np.concatenate([b.x, pool_b.x]), 2)]
     learn = ~fold if len(set(y[~fold])) == 2 and len(set(y[fold])) == 2 else np.ones(len(y), bool)
     pool = [pool_a, pool_b]
     rows, marks, weights = [a.of(learn), b.of(learn)], [y[learn], y[learn]], [weight[learn], weight[learn]]
@@ -287,14 +307,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Judge:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = features(batch)
-            ends = np.cumsum(a.sizes)
-            found = [a.flat[e - n : e].astype(np.uint16).tobytes() for e, n in zip(ends.tolist(), a.sizes.tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(4), *(pa.array([x.tobytes() for x in r.x], pa.binary()) for r in (a, b)), pa.array(found, pa.binary())], ["id", "y", "a", "b", "g"])
+            yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(4), *(pa.array([x.tobytes() for x in r.x], pa.binary()) for r in (a, b)), pa.array(a.grams, pa.binary())], ["id", "y", "a", "b", "g"])
 
     joined = docs.join(F.broadcast(chosen), docs.doc_id == chosen["_id"])  # LABELLED + POOL rows at most
     found = joined.select("text", "source", "lang", "_id", "y").mapInArrow(run, "id bigint, y double, a binary, b binary, g binary").dropDuplicates(["id"])
     rows = found.toPandas().sort_values("id")
-    a = Rows(np.frombuffer(b"".join(rows["a"]), np.float32).reshape(-1, N_CONTENT), [np.frombuffer(x, np.uint16) for x in rows["g"]])
+    a = Rows(np.frombuffer(b"".join(rows["a"]), np.float32).reshape(-1, N_CONTENT), rows["g"].tolist())
     b = Rows(np.frombuffer(b"".join(rows["b"]), np.float32).reshape(-1, N_META + 2))
     y, fold = rows["y"].to_numpy(), np.array([zlib.crc32(b"%d" % i) // 3 % 4 == 0 for i in rows["id"]], bool)
     space.drop("chosen")

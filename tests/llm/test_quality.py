@@ -12,7 +12,7 @@ def test_views_teach_each_other():
         y = (rng.random(n) < 0.7).astype(float)
         a = rng.normal(size=(n, q.N_CONTENT)) + y[:, None] * 2.0
         b = np.hstack([rng.normal(size=(n, q.N_META)) + y[:, None] * 1.2, rng.integers(0, 64, (n, 2))])
-        none = [np.zeros(0, np.uint16)] * n
+        none = [b""] * n
         return q.Rows(a.astype(np.float32), none), q.Rows(b.astype(np.float32)), y
 
     a, b, y = draw(60)
@@ -59,7 +59,7 @@ def test_weights_restore_log_odds():
     a = (rng.normal(size=(len(y), q.N_CONTENT)) + y[:, None] * 0.2).astype(np.float32)
     b = np.hstack([rng.normal(size=(len(y), q.N_META)) + y[:, None] * 0.2, rng.integers(0, 64, (len(y), 2))]).astype(np.float32)
     fold, none = np.arange(len(y)) % 4 == 0, np.zeros(0, int)
-    a, b = q.Rows(a, [np.zeros(0, np.uint16)] * len(y)), q.Rows(b)
+    a, b = q.Rows(a, [b""] * len(y)), q.Rows(b)
     every = q.co_train(a, b, y, fold, a.of(none), b.of(none))
     n = int((y == 0).sum())
     pick = np.concatenate([np.flatnonzero(y == 0), np.flatnonzero(y == 1)[:n]])
@@ -89,8 +89,9 @@ def test_scores_by_hand():
     rng = np.random.default_rng(9)
     n = 400
     y = (rng.random(n) < 0.6).astype(float)
-    found = [np.unique(rng.integers(0, 50, 12) + int(30 * v)).astype(np.uint16) for v in y]
-    a = q.Rows((rng.normal(size=(n, q.N_CONTENT)) + y[:, None]).astype(np.float32), found)
+    found = [np.unique(rng.integers(0, 50, 12) + int(30 * v)) if i % 50 else np.arange(q.GRAMS // 2) + i for i, v in enumerate(y)]
+    assert all((q.unpacked(q.packed(f)) == f).all() for f in found) and max(len(q.packed(f)) for f in found) == q.GRAMS // 8
+    a = q.Rows((rng.normal(size=(n, q.N_CONTENT)) + y[:, None]).astype(np.float32), [q.packed(f) for f in found])
     b = q.Rows(np.hstack([rng.normal(size=(n, q.N_META)) + y[:, None], rng.integers(0, 64, (n, 2))]).astype(np.float32))
     judge = q.co_train(a, b, y, np.arange(n) % 4 == 0, a.of(np.arange(50)), b.of(np.arange(50)))
     got = judge.scores(a, b)[0]
