@@ -26,8 +26,8 @@ from .common import Workspace, arrow_limits, is_held_out, only, texts
 BUCKETS = 1 << 20
 #: Beginnings of words that are terms too, by length.
 PREFIXES = (4, 5, 6)
-#: Most labelled rows that are learnt from, chosen by hash.
-SAMPLE = 20_000
+#: Most labelled rows that are learnt from, chosen by hash, and about as many terms in all of them as are learnt from at most.
+SAMPLE, SAMPLE_TERMS = 20_000, 8_000_000
 #: The least rows of a term, and the z-score, either way, from which its weight is learnt first and is not held back.
 LEAST_ROWS, CLEAR_Z = 3, 4.0
 #: How fast the pull on a weight grows as its z-score falls below that, and where the z-score stops to count.
@@ -121,7 +121,8 @@ class _Step:
 
 def _z_scores(rows: list[np.ndarray], labels: np.ndarray, n_terms: int) -> np.ndarray:
     """By how much each term is commoner in class 1 than in class 0, in standard errors."""
-    n0, n1 = (sum((np.bincount(rows[i], minlength=n_terms) for i in np.flatnonzero(labels == k)), np.zeros(n_terms)) for k in (0, 1))
+    none = np.zeros(0, np.int32)
+    n0, n1 = (np.bincount(np.concatenate([none, *(rows[i] for i in np.flatnonzero(labels == k))]), minlength=n_terms) for k in (0, 1))
     all0, all1 = (labels == 0).sum(), (labels == 1).sum()
     p = (n0 + n1) / len(labels)
     return (n1 / all1 - n0 / all0) / np.sqrt(p * (1 - p) * (1 / all0 + 1 / all1) + 1e-12)
@@ -207,6 +208,9 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, int], Machine]:
     docs = only(docs, "doc_id", "text").where("doc_id is not null")
     sample = _sample(docs, labels, space)
     sample = sample.dropDuplicates(["same", "label"])  # copies teach nothing new
+    held = sample.agg(F.sum(F.octet_length("terms"))).first()[0] or 0
+    if held > 4 * SAMPLE_TERMS:  # long texts: fewer of them, as their hashes have it
+        sample = sample.where(F.pmod(F.xxhash64("same"), F.lit(1 << 20)) < int((1 << 20) * 4 * SAMPLE_TERMS / held))
     totals = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n0, n1 = totals.get(0.0, 0), totals.get(1.0, 0)
     if not n0 or not n1:
