@@ -295,7 +295,7 @@ def _prefixes(sets: DataFrame, percent: int, space: Workspace) -> DataFrame:
     the first n - ceil(n * percent / 100) + 1 of either, so no others are kept.
     """
     tokens = space.save(_tokens(sets), "tokens")
-    shared = tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token", "df")
+    shared = space.save(tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token", "df"), "shared")
     ranked = tokens.join(shared, "token").groupBy("node").agg(F.first("component").alias("component"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ts"))  # a set's own shingles at most
     ranked = ranked.withColumn("own", F.expr("n - size(ts)")).withColumn("room", F.expr(f"cast(n - ceil(n * {percent} / 100) + 1 - own as int)")).where("room > 0")
     listed = ranked.select("node", "component", "n", "own", F.posexplode(F.expr("slice(ts, 1, room)")).alias("i", "t"))
@@ -313,7 +313,8 @@ def _across(sets: DataFrame, percent: int, space: Workspace) -> DataFrame:
     rows = space.save(_prefixes(sets, percent, space), "prefixes")
     space.drop("tokens")
     each = rows.groupBy("token", "component").agg(F.count("*").alias("c"))
-    lists = each.groupBy("token").agg(F.max_by("component", F.struct("c", "component")).alias("major"), F.count("*").alias("several")).where("several > 1").select("token", "major")
+    # Written first, so that a common shingle's rows can be split in the join.
+    lists = space.save(each.groupBy("token").agg(F.max_by("component", F.struct("c", "component")).alias("major"), F.count("*").alias("several")).where("several > 1").select("token", "major"), "majors")
     rows = space.save(rows.join(lists, "token").withColumn("is_major", F.expr("component = major")).drop("major"), "lists")
     left = rows.where("not is_major").select("token", *(F.col(n).alias(f"{n}_a") for n in ("node", "component", "n", "pos")))
     right = rows.select("token", "is_major", *(F.col(n).alias(f"{n}_b") for n in ("node", "component", "n", "pos")))
@@ -365,7 +366,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         sets = _sets_of(docs, nodes, left.select("node"), words, space, "open-sets").join(left, "node")
         pairs = space.save(_likely(_across(sets, percent, space), nodes, floor, percent), "open-pairs")
         more = space.save(_verified(pairs, sets.select("node", "shingles"), percent), "open-links")
-        space.drop("open-sets", "prefixes", "lists")
+        space.drop("open-sets", "shared", "prefixes", "majors", "lists")
         # What is connected already stands as one link from each node to its component.
         comp = components(more.unionAll(comp.selectExpr("node a", "component b")), space, "joined")
 
