@@ -139,6 +139,17 @@ def has_type(value: Column, kind: T.DataType, wanted: str, strict_datetime: bool
     return F.lit(True)
 
 
+def new_id() -> Column:
+    """A random id, another in each row and run."""
+    return F.uuid()
+
+
+def stable_id(*parts: Column) -> Column:
+    """An id that depends on the parts alone, so that a task that runs again gives the same; null parts differ from empty ones."""
+    marked = [F.when(p.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.replace(p.cast("string"), F.lit("|"), F.lit("||")))) for p in parts]
+    return F.sha2(F.concat_ws("|:", *marked), 256)
+
+
 def quality_score(errors: Column) -> Column:
     """1 without errors, a tenth less for each, never under 0."""
     return F.greatest(F.lit(0.0), F.lit(1.0) - F.lit(0.1) * F.size(errors))

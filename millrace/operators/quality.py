@@ -53,6 +53,24 @@ def timeliness(df: DataFrame, fields: list[str], asof: Column) -> Column:
     return _share(parts, 1.0)
 
 
+def _invalid(df: DataFrame, fields: list[str]) -> Column:
+    """What is wrong with the fields that are not valid, a text for each."""
+    found = []
+    for c in fields:
+        kind = df.schema[c].dataType
+        if isinstance(kind, T.StringType):
+            found.append(F.when(F.octet_length(f"`{c}`") >= LONGEST, F.lit(f"Field {c}: string too long")))
+        elif isinstance(kind, T.BinaryType):
+            found.append(F.lit(f"Field {c}: unknown type binary"))
+    return F.filter(F.array(*found), lambda x: x.isNotNull()) if found else F.array().cast("array<string>")
+
+
+def _told(title: str, score: str, of: int, what: str) -> Column:
+    """`Title: 66.67% (2/3 what)`."""
+    share = F.col(f"_q_{score}")
+    return F.format_string(f"{title}: %.2f%% (%d/%d {what})", share * 100, F.round(share * of).cast("int"), F.lit(of))
+
+
 def check_quality(df: DataFrame, fields: list[str], asof: Column, custom: dict[str, Check] | None = None, present: Column | None = None) -> DataFrame:
     """df with _quality: the five scores and a list of checks {name, passed, score, description}.
 
@@ -60,9 +78,15 @@ def check_quality(df: DataFrame, fields: list[str], asof: Column, custom: dict[s
     data_presence, has failed. Custom checks join the list and change no score.
     """
     scores = {"completeness": completeness(df, fields), "validity": validity(df, fields), "timeliness": timeliness(df, fields, asof)}
-    work = df.select("*", *(v.alias(f"_q_{k}") for k, v in scores.items()))
+    times = sum(c in TIME_FIELDS for c in fields)
+    work = df.select("*", *(v.alias(f"_q_{k}") for k, v in scores.items()), _invalid(df, fields).alias("_q_errors"))
+    told = {
+        "completeness": _told("Completeness", "completeness", len(fields), "fields"),
+        "validity": F.concat(_told("Validity", "validity", len(fields), "fields valid"), F.when(F.size("_q_errors").between(1, 3), F.concat(F.lit(", errors: ["), F.array_join("_q_errors", " "), F.lit("]"))).otherwise(F.lit(""))),
+        "timeliness": _told("Timeliness", "timeliness", times, "timestamps valid") if times else F.lit("No timestamp fields to check"),
+    }
     item = lambda name, passed, score, text: F.struct(F.lit(name).alias("name"), passed.alias("passed"), score.cast("double").alias("score"), text.alias("description"))
-    checks = [item(k, F.col(f"_q_{k}") >= need, F.col(f"_q_{k}"), F.format_string("%s: %.2f%%", F.lit(k.capitalize()), F.col(f"_q_{k}") * 100)) for k, need in NEEDED.items()]
+    checks = [item(k, F.col(f"_q_{k}") >= need, F.col(f"_q_{k}"), told[k]) for k, need in NEEDED.items()]
     for name, check in (custom or {}).items():
         got = check(df)
         checks.append(item(name, got["passed"], got["score"], got["description"]))

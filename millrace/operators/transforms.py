@@ -74,6 +74,24 @@ def with_metadata(changes: DataFrame) -> DataFrame:
     )
 
 
+def _sorted_keys(changes: DataFrame, column: str) -> Column:
+    """A map's keys in order; all else as it is."""
+    kind = changes.schema[column].dataType
+    value = F.col(f"`{column}`")
+    return (F.map_from_entries(F.array_sort(F.map_entries(value))) if isinstance(kind, T.MapType) else value).alias(column)
+
+
 def rendered(changes: DataFrame, name: str = "json") -> DataFrame:
-    """Each change as one JSON text."""
-    return changes.select(F.to_json(F.struct(*changes.columns)).alias(name))
+    """Each change as one JSON text; keys of maps are sorted, null fields left out."""
+    return changes.select(json_text(changes, changes.columns).alias(name))
+
+
+def json_text(rows: DataFrame, columns: list[str]) -> Column:
+    """Some columns of a row as one JSON text, as rendered() has it."""
+    return F.to_json(F.struct(*(_sorted_keys(rows, c) for c in columns)))
+
+
+def parsed(texts: DataFrame, column: str, schema: str, name: str = "change") -> DataFrame:
+    """JSON texts read by a schema; one that is no such record gives null and stays beside it."""
+    value = F.from_json(F.when(F.try_parse_json(column).isNotNull(), F.col(column)), schema)
+    return texts.withColumn(name, value)

@@ -11,12 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import job
 from .functions import redact as R
 from .functions import scalars as S
 from .model import to_changes, with_effective_image
 from .operators import cleaning, filters, quality, rules, stats, transforms, validation
 from .plans import layers, registry
-from .sources import paths, readers, writers
+from .plans.catalog import Catalog
+from .plans.lake import Lake
+from .sources import config, paths, readers, writers
+from .sources.manager import StorageManager
 from .streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,10 +114,11 @@ def table_metadata(spark, sf_dir):
     return spark.createDataFrame(readers.table_info(table(spark, sf_dir, "nation")), "name string, type string, nullable boolean")
 
 
-@query("SELECT doc_id, length(text) AS n FROM documents")
+@query("SELECT doc_id, length(text) AS n, md5(text) AS digest FROM documents")
 def normalised_bytes(spark, sf_dir):
     d = table(spark, sf_dir, "documents").withColumn("raw", F.col("text").cast("binary"))
-    return d.select("doc_id", F.length(readers.normalised(F.col("raw"), d.schema["raw"].dataType)).cast("bigint").alias("n"))
+    text = readers.normalised(F.col("raw"), d.schema["raw"].dataType)
+    return d.select("doc_id", F.length(text).cast("bigint").alias("n"), F.md5(text.cast("binary")).alias("digest"))
 
 
 # --- B: filters -------------------------------------------------------------------
@@ -237,7 +242,7 @@ def json_rendering(spark, sf_dir):
     return transforms.rendered(changes_of(table(spark, sf_dir, "nation"), "n_nationkey", "nation", ["n_name"]).select("id", "type", "after"))
 
 
-_SECRETS = "substr(text, 1, 200) || CASE doc_id % 5 WHEN 0 THEN ' Password= abc' WHEN 1 THEN ' Bearer a-b.c==' WHEN 2 THEN ' basic abc=' WHEN 3 THEN ' api_key:xyz z' ELSE '' END"
+_SECRETS = "text || CASE doc_id % 5 WHEN 0 THEN ' Password= abc' WHEN 1 THEN ' Bearer a-b.c==' WHEN 2 THEN ' basic abc=' WHEN 3 THEN ' api_key:xyz z' ELSE '' END"
 
 
 @query(
@@ -248,17 +253,6 @@ def redact_values(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", R.redact(F.expr(_SECRETS)).alias("safe"))
 
 
-_WHOLE_SECRETS = _SECRETS.replace("substr(text, 1, 200)", "text")
-
-
-@query(
-    "SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '(password|passwd|pwd)\\s*[=:]\\s*\\S+', '[REDACTED]', 'gi'), '(secret|token|key)\\s*[=:]\\s*\\S+', '[REDACTED]', 'gi'), "
-    f"'bearer\\s+[a-zA-Z0-9._~+/-]+=*', '[REDACTED]', 'gi'), 'basic\\s+[a-zA-Z0-9+/]+=*', '[REDACTED]', 'gi') AS safe FROM (SELECT doc_id, {_WHOLE_SECRETS} AS t FROM documents)"
-)
-def redact_whole_texts(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", R.redact(F.expr(_WHOLE_SECRETS)).alias("safe"))
-
-
 _NAMES = ["user_password", "access_token", "api_key", "SECRET", "auth_header", "credentials", "passwd", "username", "email", "name", "id"]
 
 
@@ -401,12 +395,27 @@ def dq_validity(spark, sf_dir):
     return q.select("doc_id", F.col("_quality.validity").alias("score"), F.col("_quality.checks")[1]["passed"].alias("passed"))
 
 
-@query("SELECT event_id, CASE WHEN event_id % 5 <> 0 AND date_trunc('second', ts) < TIMESTAMP '2024-01-16' THEN 1.0 ELSE 0.0 END::DOUBLE AS score FROM events")
+@query("SELECT event_id, CASE WHEN event_id % 5 <> 0 AND event_id % 3 <> 0 AND date_trunc('second', ts) < TIMESTAMP '2024-01-16' THEN 1.0 ELSE 0.0 END::DOUBLE AS score FROM events")
 def dq_timeliness(spark, sf_dir):
-    q = quality.check_quality(event_rows(spark, sf_dir), ["event_id", "created_at"], F.lit(_ASOF).cast("timestamp"))
+    """Every third time lies 400 days back, beyond the lower bound."""
+    shifted = event_rows(spark, sf_dir).withColumn("created_at", F.when((F.col("event_id") % 3 == 0) & (F.col("created_at") != "junk"), S.rfc3339(F.col("ts") - F.expr("interval 400 days"))).otherwise(F.col("created_at")))
+    q = quality.check_quality(shifted, ["event_id", "created_at"], F.lit(_ASOF).cast("timestamp"))
     return q.select("event_id", F.col("_quality.timeliness").alias("score"))
 
 
+@query("SELECT c_custkey, 'Completeness: ' || CASE WHEN c_custkey % 7 = 0 THEN '33.33% (1/3' ELSE '100.00% (3/3' END || ' fields)' AS completeness, 'Validity: 100.00% (3/3 fields valid)' AS validity, 'No timestamp fields to check' AS timeliness FROM customer")
+def dq_descriptions(spark, sf_dir):
+    told = _scored(spark, sf_dir)
+    return told.select("c_custkey", *(F.col("_quality.checks")[k]["description"].alias(n) for k, n in enumerate(("completeness", "validity", "timeliness"))))
+
+
+@query("SELECT doc_id, CASE WHEN strlen(text) < 10000 THEN 'Validity: 100.00% (2/2 fields valid)' ELSE 'Validity: 50.00% (1/2 fields valid), errors: [Field text: string too long]' END AS validity FROM documents")
+def dq_error_list(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    q = quality.check_quality(d, ["doc_id", "text"], F.lit(_ASOF).cast("timestamp"))
+    return q.select("doc_id", F.col("_quality.checks")[1]["description"].alias("validity"))
+
+
 @query("SELECT c_custkey, round((CASE WHEN c_custkey % 7 = 0 THEN 1.0::DOUBLE / 3 ELSE 1.0::DOUBLE END + 1) / 2, 6) AS score, 1.0::DOUBLE AS uniqueness FROM customer")
 def dq_consistency(spark, sf_dir):
     return _scored(spark, sf_dir).select("c_custkey", F.round("_quality.consistency", 6).alias("score"), "_quality.uniqueness")
@@ -493,11 +502,11 @@ def retention_expired(spark, sf_dir):
 
 
 @query(
-    "SELECT 'c_acctbal' AS \"column\", count(*) AS num_values, count(*) - count(c_acctbal) AS null_count, count(DISTINCT c_acctbal) AS distinct_count, round(avg(c_acctbal), 6) AS avg FROM (" + _NULLED + ") "
-    "UNION ALL SELECT 'c_mktsegment', count(*), count(*) - count(c_mktsegment), count(DISTINCT c_mktsegment), NULL FROM (" + _NULLED + ")"
+    "SELECT 'c_acctbal' AS \"column\", count(*) AS num_values, count(*) - count(c_acctbal) AS null_count, count(DISTINCT c_acctbal) AS distinct_count, CAST(min(c_acctbal) AS VARCHAR) AS min, CAST(max(c_acctbal) AS VARCHAR) AS max, round(avg(c_acctbal), 6) AS avg FROM (" + _NULLED + ") "
+    "UNION ALL SELECT 'c_mktsegment', count(*), count(*) - count(c_mktsegment), count(DISTINCT c_mktsegment), min(c_mktsegment), max(c_mktsegment), NULL FROM (" + _NULLED + ")"
 )
 def column_stats(spark, sf_dir):
-    return stats.column_stats(nulled_customers(spark, sf_dir), ["c_acctbal", "c_mktsegment"]).drop("min", "max")
+    return stats.column_stats(nulled_customers(spark, sf_dir), ["c_acctbal", "c_mktsegment"])
 
 
 @query("SELECT count(*) AS num_values, count(*) FILTER (WHERE c_custkey % 7 = 0) AS null_count, min(c_acctbal) FILTER (WHERE c_custkey % 7 <> 0) AS min, max(c_acctbal) FILTER (WHERE c_custkey % 7 <> 0) AS max FROM customer")
@@ -572,12 +581,13 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
-@query("SELECT CAST(event_id AS VARCHAR) AS id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, event_type = 'error' AS no_after, event_type = 'signup' AS no_before FROM events")
+@query("SELECT CAST(event_id AS VARCHAR) AS id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, CASE WHEN event_type <> 'error' THEN CAST(event_id AS VARCHAR) END AS after_id, CASE WHEN event_type <> 'error' THEN value END AS after_value, CASE WHEN event_type <> 'signup' THEN CAST(event_id AS VARCHAR) END AS before_id FROM events")
 def csv_round_trip(spark, sf_dir):
     path = paths.scratch(spark, "csv")
     writers.write_changes(event_changes(spark, sf_dir), path, "csv", "none")
     back = writers.read_back(spark, path, "csv", "id string, timestamp string, type string, database string, table string, after string, before string")
-    return back.select("id", "timestamp", F.col("after").isNull().alias("no_after"), F.col("before").isNull().alias("no_before"))
+    of = lambda image, name, kind: F.from_json(image, f"{name} {kind}")[name]
+    return back.select("id", "timestamp", of("after", "event_id", "string").alias("after_id"), of("after", "value", "double").alias("after_value"), of("before", "event_id", "string").alias("before_id"))
 
 
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice, 'orders' AS _table FROM orders")
@@ -598,16 +608,8 @@ def codec_round_trip(spark, sf_dir):
     return out
 
 
-@query("SELECT CAST(4 AS BIGINT) AS files, CAST(10 AS BIGINT) AS rows")
-def rotation_file_count(spark, sf_dir):
-    path = paths.scratch(spark, "rotation")
-    ten = readers.page(table(spark, sf_dir, "events"), ["event_id"], 0, 10).select("event_id", "event_type").coalesce(1)
-    writers.writer(ten, "json", "none", 3).save(path)
-    return spark.read.schema("event_id bigint").json(path).select("event_id", "_metadata.file_name").agg(F.countDistinct("file_name").alias("files"), F.count("*").alias("rows"))
-
-
 @query("SELECT CAST(sum((n + 499) // 500) AS BIGINT) AS files, CAST(sum(n) AS BIGINT) AS rows FROM (SELECT count(*) AS n FROM events GROUP BY event_id % 16)")
-def rotation_of_all_events(spark, sf_dir):
+def rotation_file_count(spark, sf_dir):
     path = paths.scratch(spark, "rotation")
     rows = table(spark, sf_dir, "events").select("event_id", "event_type", (F.col("event_id") % 16).alias("part")).repartition("part")
     writers.writer(rows, "json", "none", 500, partitions=["part"]).save(path)
@@ -684,6 +686,177 @@ def latest_state(spark, sf_dir):
     return ingest.latest_state(ch, F.col("image.user_id"), [F.col("image.event_id")]).select("key", "after.value")
 
 
+# --- K: layers, tables and jobs on disk -------------------------------------------
+
+_IMAGE = "event_id bigint, id string, created_at string, user_id bigint, event_type string, value double"
+
+
+def _lake(spark, sf_dir) -> Lake:
+    """Events captured in bronze, twice under one batch id: the second write replaces the first."""
+    found = Lake(spark, paths.scratch(spark, "lake"), Catalog(spark, paths.scratch(spark, "lake-catalog")))
+    for _ in range(2):
+        found.write_bronze(event_changes(spark, sf_dir), "b1", F.col("timestamp"))
+    return found
+
+
+@query(f"SELECT CAST(event_id AS VARCHAR) AS id, {_KIND_SQL} AS type, event_id, 'app' AS database, 'events' AS \"table\", strftime(ts, '%Y-%m-%d') AS date FROM events")
+def bronze_write(spark, sf_dir):
+    rows = with_effective_image(_lake(spark, sf_dir).read_bronze().select("_id", "database", "table", "date", "_raw_data.type", "_raw_data.before", "_raw_data.after"))
+    return rows.select(F.col("_id").alias("id"), "type", F.get_json_object("image", "$.event_id").cast("bigint").alias("event_id"), "database", "table", "date")
+
+
+@query("SELECT 'app.events' AS name, strftime(ts, '%Y-%m-%d') AS date, CAST(count(*) AS BIGINT) AS records FROM events GROUP BY 2")
+def bronze_catalog(spark, sf_dir):
+    held = _lake(spark, sf_dir).catalog
+    rows = [(n, p["values"]["date"], p["record_count"]) for n in held.names() for p in held.get(n)["partitions"].values()]
+    return spark.createDataFrame(rows, "name string, date string, records bigint")
+
+
+def _silver_lake(spark, sf_dir) -> Lake:
+    found = _lake(spark, sf_dir)
+    found.bronze_to_silver(_IMAGE, "events", processed_at=F.lit(_ASOF).cast("timestamp"))
+    return found
+
+
+@query(f"SELECT CAST(event_id AS VARCHAR) AS _id, CASE WHEN event_id % 17 = 0 THEN '' ELSE CAST(event_id AS VARCHAR) END AS id, value, round(1.0::DOUBLE - 0.1::DOUBLE * {_N_ERR}, 6) AS score, strftime(ts, '%Y-%m-%d') AS date, 'app' AS database FROM events")
+def silver_write(spark, sf_dir):
+    silver = _silver_lake(spark, sf_dir).read_silver()
+    return silver.select("_id", "_cleaned_data.id", "_cleaned_data.value", F.round("_quality_score", 6).alias("score"), F.col("date").cast("string").alias("date"), "database")
+
+
+@query(f"SELECT count(*) AS read, count(*) AS written, CAST(0 AS BIGINT) AS rejected, round(avg(1.0::DOUBLE - 0.1::DOUBLE * {_N_ERR}), 6) AS avg_quality FROM events")
+def run_metrics(spark, sf_dir):
+    m = _silver_lake(spark, sf_dir).metrics
+    return spark.createDataFrame([(m["read"], m["written"], m["rejected"], round(m["avg_quality"], 6))], "read bigint, written bigint, rejected bigint, avg_quality double")
+
+
+@query(_GOLD.replace(" WHERE value > 5", "").format(dims="strftime(ts, '%Y-%m-%d') AS date", keys="1"))
+def gold_write(spark, sf_dir):
+    return _silver_lake(spark, sf_dir).silver_to_gold("daily").select(F.col("date").cast("string").alias("date"), "record_count", "avg_quality")
+
+
+@query("SELECT CAST(month(ts) AS INTEGER) AS \"month\", max(value) AS best, CAST(count(DISTINCT event_type) AS BIGINT) AS \"year\" FROM events WHERE event_id % 17 <> 0 AND event_id % 5 <> 0 GROUP BY 1")
+def gold_own_aggregates(spark, sf_dir):
+    """Aggregates of the caller's; one is named like a dimension and takes its place."""
+    wanted = {"best": F.max("_cleaned_data.value"), "year": F.countDistinct("_cleaned_data.event_type")}
+    return _silver_lake(spark, sf_dir).silver_to_gold("monthly", aggregates=wanted, valid_only=True).select("month", "best", "year")
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice, 'orders' AS _table FROM orders")
+def catalogued_write(spark, sf_dir):
+    return _managed(spark, sf_dir).read_table("tpch", "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "_table")
+
+
+def _managed(spark, sf_dir) -> StorageManager:
+    """Two tables in a batch that is written twice, then one of them with a new column in a second batch."""
+    local = config.DEFAULTS["storage"]["local"] | {"file_format": "parquet", "compression": "zstd", "partition_strategy": "none"}
+    manager = StorageManager(spark, paths.scratch(spark, "managed"), local)
+    orders = changes_of(table(spark, sf_dir, "orders"), "o_orderkey", "orders", ["o_orderkey", "o_orderstatus", "o_totalprice"])
+    for _ in range(2):
+        manager.write_table(orders, "tpch", "orders", "0")
+    for batch, names in enumerate((["n_nationkey", "n_name"], ["n_nationkey", "n_name", "n_regionkey"])):
+        manager.write(changes_of(table(spark, sf_dir, "nation"), "n_nationkey", "nation", names), str(batch))
+    return manager
+
+
+@query("SELECT 'tpch.nation' AS name, 2 AS version, 2 AS batches, CAST(2 * count(*) AS BIGINT) AS records FROM nation UNION ALL SELECT 'tpch.orders', 1, 1, count(*) FROM orders")
+def catalog_entries(spark, sf_dir):
+    m = _managed(spark, sf_dir)
+    totals = {n: m.catalog.partition_totals(n) for n in m.catalog.names()}
+    return spark.createDataFrame([(n, m.registry.versions(n)[-1], t["partitions"], t["record_count"]) for n, t in totals.items()], "name string, version int, batches int, records bigint")
+
+
+def _job(spark, sf_dir, **local):
+    """A job from settings alone: change files in, filters, a mask, files out."""
+    base = paths.scratch(spark, "job")
+    ch = event_changes(spark, sf_dir)
+    kept = [n for n in ("event_id", "event_type", "value")]
+    ch.withColumns({i: F.when(F.col(i).isNotNull(), F.struct(*(F.col(f"{i}.{n}") for n in kept))) for i in ("before", "after")}).write.json(f"{base}/in")
+    settings = config.from_dict({
+        "source": {"type": "file", "file": {"path": f"{base}/in", "image_schema": "event_id: bigint, event_type: string, value: double"}},
+        "storage": {"local": {"base_path": f"{base}/out", **local}},
+        "checkpoint": {"storage_path": f"{base}/checkpoint"},
+        "processing": {"filters": ["value > 50", "event_type != 'click'"], "transforms": ["mask:event_type:**:2"], "dead_letter_queue_path": f"{base}/dead"},
+    })
+    job.start(spark, settings, once=True).awaitTermination()
+    return f"{base}/out", job.change_schema(settings["source"]["file"]["image_schema"])
+
+
+_JOB = "SELECT event_id, substr(event_type, 1, 2) || '**' AS event_type, value FROM events WHERE value > 50 AND event_type <> 'click'"
+
+
+@query(_JOB)
+def config_job(spark, sf_dir):
+    out, schema = _job(spark, sf_dir)
+    return with_effective_image(readers.read_changes(spark, f"{out}/json", "json", schema)).select("image.event_id", "image.event_type", "image.value")
+
+
+@query(_JOB)
+def config_job_parquet(spark, sf_dir):
+    out, _ = _job(spark, sf_dir, file_format="parquet", compression="snappy", partition_strategy="hour")
+    return spark.read.parquet(f"{out}/parquet/app/events").select("event_id", "event_type", "value")
+
+
+@query("SELECT event_id, 'OSError: no room' AS failure_reason, 1 AS retry_count, true AS timed FROM events")
+def dead_letters_of_lost_batches(spark, sf_dir):
+    """A sink that fails to its last attempt: the batch becomes dead letters and the stream ends well."""
+    base = paths.scratch(spark, "lost")
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type")
+    rows.write.parquet(f"{base}/in")
+    letters = ingest.DeadLetters(f"{base}/dead")
+
+    def sink(df, n):
+        raise OSError("no room")
+
+    ingest.start(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), ingest.Pipeline(), sink, f"{base}/checkpoint", None, letters, 1, None, 1, 2).awaitTermination()
+    return letters.read(spark).select("original_change.event_id", "failure_reason", F.col("retry_count").cast("int").alias("retry_count"), F.col("timestamp").isNotNull().alias("timed"))
+
+
+def _runs(spark, sf_dir, plan, parts, mode):
+    """A streaming plan over files that come in turn, one run for each over a checkpoint; its rows with their run."""
+    base = paths.scratch(spark, "runs")
+    for part in parts:
+        part.write.mode("append").parquet(f"{base}/in")
+        source = spark.readStream.schema(part.schema).parquet(f"{base}/in")
+        sink = lambda df, n: df.withColumn("batch", F.lit(n)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{base}/out")
+        plan(source).writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("SELECT strftime(time_bucket(INTERVAL 1 day, ts), '%Y-%m-%d') AS day, event_type, count(*) AS rows FROM events GROUP BY 1, 2")
+def stream_windows(spark, sf_dir):
+    """All events, then those of the first ten days again: they come too late to count."""
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    got = _runs(spark, sf_dir, lambda s: ingest.windowed_counts(s, "ts", "1 day", "1 hour", "event_type"), [e, e.where("ts < '2024-01-11'")], "update")
+    return got.groupBy(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type").agg(F.max_by("rows", "batch").alias("rows"))
+
+
+@query("SELECT event_id, value FROM events")
+def stream_without_repeats(spark, sf_dir):
+    """Every event twice: half of the repeats in the same batch, all events again in a later one."""
+    e = table(spark, sf_dir, "events").select("event_id", "value", F.col("ts").cast("timestamp").alias("ts"))
+    return _runs(spark, sf_dir, lambda s: ingest.without_repeats(s, "event_id", "ts", "60 days"), [e.unionAll(e.where("event_id % 2 = 0")), e], "append").select("event_id", "value")
+
+
+@query("SELECT event_id, sha256('+' || event_id || '|:+' || replace(event_type, '|', '||') || '|:' || CASE WHEN event_id % 7 = 0 THEN '-' ELSE '+x' END) AS id, true AS fresh FROM events")
+def event_ids(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    null = F.when(F.col("event_id") % 7 != 0, F.lit("x"))
+    return e.select("event_id", S.stable_id(F.col("event_id"), F.col("event_type"), null).alias("id"), S.new_id().rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$").alias("fresh"))
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k, event_id % 4 = 0 AS damaged FROM (SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN props END AS props FROM events)")
+def json_decoding(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumn("props", F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("{"), "props")).otherwise(F.col("props")))
+    return transforms.parsed(e, "props", "k string").select("event_id", "change.k", F.col("change").isNull().alias("damaged"))
+
+
+@query("SELECT n_nationkey, '{\"after\":{\"a\":\"' || n_name || '\",\"b\":\"' || n_regionkey || '\"}}' AS json FROM nation")
+def json_sorted_keys(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").withColumn("after", F.create_map(F.lit("b"), F.col("n_regionkey").cast("string"), F.lit("a"), F.col("n_name")))
+    return n.select("n_nationkey", transforms.json_text(n, ["after"]).alias("json"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -10,8 +10,8 @@ from ..functions.redact import is_plaintext_password, is_sensitive_name
 
 #: The defaults of every setting.
 DEFAULTS: dict = {
-    "app": {"name": "data-ingestion-tool", "log_level": "info"},
-    "source": {"type": "mysql", "mysql": {"port": 3306}, "kafka": {}, "postgresql": {"port": 5432}, "rest": {}},
+    "app": {"name": "millrace", "log_level": "info"},
+    "source": {"type": "mysql", "mysql": {"port": 3306}, "kafka": {}, "postgresql": {"port": 5432}, "rest": {}, "file": {"format": "json"}},
     "storage": {
         "type": "local",
         "local": {"base_path": "./data-lake", "partition_strategy": "date", "file_format": "json", "compression": "none", "max_file_size_mb": 100, "max_records_per_file": 10000},
@@ -24,7 +24,7 @@ DEFAULTS: dict = {
 FORMATS, CODECS, STRATEGIES = ("json", "csv", "parquet"), ("none", "snappy", "gzip", "zstd"), ("date", "hour", "none")
 
 #: What each kind of source cannot do without.
-_NEEDED = {"mysql": ("host", "user", "server_id"), "kafka": ("brokers",), "postgresql": ("host",), "rest": ("base_url",)}
+_NEEDED = {"mysql": ("host", "user", "server_id"), "kafka": ("brokers",), "postgresql": ("host",), "rest": ("base_url",), "file": ("path", "image_schema")}
 
 
 def _merged(base: dict, over: dict) -> dict:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,7 +21,7 @@ def read_changes(spark: SparkSession, path: str, fmt: str = "json", schema: str
 
 
 def stream_changes(spark: SparkSession, path: str, fmt: str = "json", schema: str = CHANGE_SCHEMA, max_files: int | None = None) -> DataFrame:
-    """The same as a stream; the trigger's number of files bounds each batch, and nothing is dropped."""
+    """The same as a stream; max_files bounds each batch, and nothing is dropped. It resumes from its query's checkpoint."""
     reader = spark.readStream.schema(schema).format(fmt)
     return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(path)
 
@@ -91,6 +92,36 @@ def table_info(df: DataFrame) -> list[tuple[str, str, bool]]:
     return [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema]
 
 
+class TableInfos:
+    """Metadata of tables by database and name, looked up once and kept until a DDL statement changes a table."""
+
+    def __init__(self, lookup: Callable[[str, str], tuple[T.StructType, list[str]]]):
+        self.lookup, self.known = lookup, {}
+
+    def get(self, database: str, table: str) -> dict:
+        """columns (name, type, nullable) and keys: position of a key column -> its name."""
+        name = f"{database}.{table}"
+        if name not in self.known:
+            schema, keys = self.lookup(database, table)
+            columns = [(f.name, f.dataType.simpleString(), f.nullable) for f in schema]
+            self.known[name] = {"columns": columns, "keys": {schema.names.index(k): k for k in keys}}
+        return self.known[name]
+
+    def on_statement(self, statement: str, spark: SparkSession | None = None, tables: list[str] = ()) -> bool:
+        """Forgets every table on CREATE TABLE and ALTER TABLE, in any case, and refreshes Spark's own cache of `tables`."""
+        if not re.search(r"(create|alter)\s+table", statement, re.IGNORECASE):
+            return False
+        self.known.clear()
+        for t in tables if spark else ():
+            spark.catalog.refreshTable(t)
+        return True
+
+
+def catalog_lookup(spark: SparkSession, keys: dict[str, list[str]] | None = None) -> Callable[[str, str], tuple[T.StructType, list[str]]]:
+    """A lookup in the session's catalog; keys: `database.table` -> key columns, which the catalog does not hold."""
+    return lambda database, table: (spark.table(f"`{database}`.`{table}`").schema, (keys or {}).get(f"{database}.{table}", []))
+
+
 def page(df: DataFrame, order: list[str], offset: int, count: int) -> DataFrame:
     """`count` rows from `offset` on, in a total order; only offset + count rows of each task leave it."""
     return df.orderBy(*order).offset(offset).limit(count)

@@ -19,10 +19,10 @@ def partition_columns(ts: Column, strategy: str) -> dict[str, Column]:
     return date | {"hour": F.date_format(ts, "HH")} if strategy == "hour" else date
 
 
-def csv_rows(changes: DataFrame) -> DataFrame:
-    """Seven columns: id, timestamp, type, database, table, after and before as JSON (null: empty)."""
+def csv_rows(changes: DataFrame, more: list[str] = ()) -> DataFrame:
+    """Seven columns: id, timestamp, type, database, table, after and before as JSON (null: empty); then `more`."""
     image = lambda c: F.when(F.col(c).isNotNull(), F.to_json(c))
-    return changes.select("id", rfc3339(F.col("timestamp")).alias("timestamp"), "type", "database", "table", image("after").alias("after"), image("before").alias("before"))
+    return changes.select("id", rfc3339(F.col("timestamp")).alias("timestamp"), "type", "database", "table", image("after").alias("after"), image("before").alias("before"), *more)
 
 
 def writer(df: DataFrame, fmt: str, compression: str = "none", max_records: int = 10_000, mode: str = "append", partitions: list[str] = ()) -> DataFrameWriter:
@@ -37,10 +37,19 @@ def writer(df: DataFrame, fmt: str, compression: str = "none", max_records: int
     return out.partitionBy(*partitions) if partitions else out
 
 
-def write_changes(changes: DataFrame, path: str, fmt: str = "json", strategy: str = "date", compression: str = "none", max_records: int = 10_000, ts: Column | None = None, mode: str = "append") -> None:
-    """Changes in files, partitioned by their time."""
+def records_for(rows: DataFrame, max_megabytes: float, most: int) -> int:
+    """Records of a file that stays near a size in megabytes, by the rows' mean length as JSON; `most` at most."""
+    mean = rows.select(F.octet_length(F.to_json(F.struct(*rows.columns))).alias("n")).agg(F.avg("n")).first()[0]
+    return max(1, min(most, int(max_megabytes * (1 << 20) / (mean + 1)))) if mean else most
+
+
+def write_changes(changes: DataFrame, path: str, fmt: str = "json", strategy: str = "date", compression: str = "none", max_records: int = 10_000, ts: Column | None = None, mode: str = "append", max_megabytes: float | None = None) -> None:
+    """Changes in files, partitioned by their time; files end at max_records or, about, at max_megabytes before compression."""
     parts = partition_columns(F.col("timestamp") if ts is None else ts, strategy)
-    body = changes.withColumns(parts) if fmt != "csv" else csv_rows(changes).withColumns({k: F.to_timestamp("timestamp") for k in []} | {k: v for k, v in parts.items()})
+    body = changes.withColumns(parts)
+    body = csv_rows(body, list(parts)) if fmt == "csv" else body
+    if max_megabytes:
+        max_records = records_for(body, max_megabytes, max_records)
     writer(body, fmt, compression, max_records, mode, list(parts)).save(path)
 
 
