@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 from millrace.llm import mixing, sharding
 
@@ -102,3 +103,45 @@ def test_placing_balances_measures_jointly():
     homes = sharding.place(units, 40)
     load = np.stack([np.bincount(homes, u, 40) for u in units.T], 1) / (units.sum(0) / 40)
     assert load.max() < 1.06 and load.min() > 0.94
+
+
+def plain_place(units, shards):
+    """Largest share first, to the highest dot product with the room left; by the definition, one by one."""
+    n = len(units[0])
+    mean = [max(1e-9, sum(u[k] for u in units)) / shards for k in range(n)]
+    share = [[u[k] / mean[k] for k in range(n)] for u in units]
+    room, home = [[1.0] * n for _ in range(shards)], [0] * len(units)
+    for i in sorted(range(len(units)), key=lambda i: (-max(share[i]), -sum(share[i]), i)):
+        product = [round(sum(r * s for r, s in zip(room[j], share[i])), 12) for j in range(shards)]
+        home[i] = max((j for j in range(shards) if product[j] == max(product)), key=lambda j: (min(room[j]), -j))
+        room[home[i]] = [r - s for r, s in zip(room[home[i]], share[i])]
+    return home
+
+
+def test_placing_as_defined():
+    rng = np.random.default_rng(1)
+    units = rng.integers(1, 50, (400, 3)).astype(float)
+    units[:40] *= 20
+    assert sharding.place(units, 7).tolist() == plain_place(units.tolist(), 7)
+
+
+def test_shards_as_defined(spark):
+    """Groups, bundles and placement worked out again in Python, document by document."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    sizes = {t: np.array([len(t.encode()) + 16, len(WORD.findall(t)), 1.0]) for _, t in rows}
+    total = sum(sizes[t] for _, t in rows)
+    groups = Counter(t for _, t in rows)
+    signed = lambda h: h - ((h >> 63) << 64)
+    units, unit_of = defaultdict(lambda: np.zeros(3)), {}
+    for i, t in rows:
+        part = (sizes[t] * groups[t] * 40 / total).max()
+        same = signed(xxhash.xxh64_intdigest(t.encode(), seed=42))
+        piece = signed(xxhash.xxh64_intdigest((7).to_bytes(4, "little"), seed=xxhash.xxh64_intdigest(i.to_bytes(8, "little"), seed=42))) % int(np.ceil(part * 4)) if part > 1 / 4 else 0
+        unit_of[i] = (same, zlib.crc32(t.encode()), len(t.encode()) + 16, piece) if part >= 1 / 100 else (-1, -1, -1, same % 4000)
+        units[unit_of[i]] += sizes[t]
+    got = {r.doc_id: r.shard for r in sharding.shard(df).collect()}
+    keys = sorted(units)
+    home = dict(zip(keys, plain_place([units[k].tolist() for k in keys], 40)))
+    assert len({u for u in unit_of.values() if u[3] and u[1] >= 0}) > 0
+    assert got == {i: home[unit_of[i]] for i, _ in rows}

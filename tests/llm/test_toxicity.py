@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -37,6 +39,12 @@ def test_held_out_accuracy_and_edges(spark):
     assert len(toxic) > 50 and np.mean(np.array(toxic) >= tx.THRESHOLD) > 0.9
     assert np.mean([r.score >= tx.THRESHOLD for r in got if r.toxic == 1]) > 0.84
     assert np.mean(np.array(clean) >= tx.THRESHOLD) < 0.01
+    texts = {r.doc_id: r.text for r in docs.where("doc_id < 400 and length(text) < 3000").collect()}
+    scores = {r.doc_id: r.score for r in tx.score(docs.where("doc_id < 400"), chosen, machine).collect()}
+    for i in list(texts)[:12]:  # from the text to the score, term by term and pair by pair
+        own = sorted({chosen[t] for w in re.findall(r"\w+", texts[i].lower()) for t in tx.terms_of(w) if t in chosen})
+        raw = float(machine.bias) + sum(float(machine.weights[k]) for k in own) + sum(float(machine.factors[a] @ machine.factors[b]) for n, a in enumerate(own) for b in own[:n])
+        assert abs(scores[i] - 1 / (1 + np.exp(-raw))) < 1e-3
     odd = spark.createDataFrame([(1, None, 3), (1, "", 3), (None, "x" * 300_000, 3), (2, "idiot loser scum " * 4, 3)], "doc_id long, text string, score int")
     rows = tx.score(odd, chosen, machine).collect()
     assert len(rows) == 4 and rows[0].score == rows[1].score < 0.5 and rows[3].score > 0.7
