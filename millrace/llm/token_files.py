@@ -44,6 +44,11 @@ FILE_TEXT_BYTES = 256 << 20
 #: Chunks whose ids a worker keeps; beyond it only those that come again are carried on. Longer chunks are not kept.
 KEPT_CHUNKS, KEPT_CHARS = 400_000, 64
 
+#: Words of letters that go to the library as one text.
+TOGETHER = 64
+#: Fixed value: marks a token that ends a word.
+WORD_END = "</w>"
+
 #: str.split() takes these for white space, the tokenizer does not.
 _SEPARATORS = regex.compile(r"[\x1c-\x1f]").search
 #: White space for both.
@@ -88,6 +93,8 @@ class Encoder:
         self.path = path
         self.id_type = "<u2" if max(_library(path).get_vocab().values(), default=0) < 1 << 16 else "<u4"
         self.by_chunk = splits_at_blanks(path)
+        self.ends = np.zeros(1 << 16 if self.id_type == "<u2" else max(_library(path).get_vocab().values()) + 1, bool)
+        self.ends[[i for t, i in _library(path).get_vocab().items() if t.endswith(WORD_END)]] = True
         self.end = np.array([END_ID], self.id_type).tobytes()
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -97,6 +104,20 @@ class Encoder:
         kind = "H" if self.id_type == "<u2" else "I"
         return [array(kind, e.ids).tobytes() for e in found]
 
+    def _ids_of_letters(self, words: list[str]) -> list[bytes]:
+        """The same for words of letters alone, some at a time: each is one piece to the library, so a token that ends a word ends its ids."""
+        texts = [" ".join(words[at : at + TOGETHER]) for at in range(0, len(words), TOGETHER)]
+        out: list[bytes] = []
+        width = np.dtype(self.id_type).itemsize
+        for at, packed in zip(range(0, len(words), TOGETHER), self._library_ids(texts)):
+            own = words[at : at + TOGETHER]
+            cuts = ((np.flatnonzero(self.ends[np.frombuffer(packed, self.id_type)]) + 1) * width).tolist()
+            if len(cuts) == len(own):
+                out += map(packed.__getitem__, map(slice, [0, *cuts], cuts))
+            else:
+                out += self._library_ids(own)
+        return out
+
     def __call__(self, batch: list[str]) -> list[bytes]:
         """Each text's ids, packed little-endian in id_type, the end id last."""
         if not self.by_chunk:
@@ -105,23 +126,31 @@ class Encoder:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
         pieces = [_CHUNKS(t) if _SEPARATORS(t) else t.split() for t in batch]
-        fresh = {p for own in pieces for p in own if p not in known}
-        known.update((p, older[p]) for p in fresh if p in older)
-        fresh -= known.keys()
-        parts: dict[str, tuple[str, str]] = {}  # letters, in lower case where that is plain, and a mark
+        new = set().union(*pieces).difference(known)
+        if older:
+            known.update((p, older[p]) for p in new if p in older)
+            new.difference_update(known)
+        parts: list[tuple[str, str, str]] = []  # chunks, their letters (in lower case where that is plain) and mark
+        plain: set[str] = set()
         need: set[str] = set()
-        for p in fresh:
-            word, mark = (p[:-1], p[-1]) if p[-1] in _MARKS else (p, "")
-            if _letters(word):
-                parts[p] = word.lower() if word.isascii() else word, mark
-                need.update(parts[p])
-            else:
+        for p in new:
+            word, mark = (p, "") if p.isalpha() else (p[:-1], p[-1])
+            if mark and mark not in _MARKS or not _letters(word):
                 need.add(p)
-        need = [p for p in need if p not in known]
+                continue
+            if word.isascii():
+                word = word.lower()
+            plain.add(word)
+            if mark:
+                need.add(mark)
+            if word != p:
+                parts.append((p, word, mark))
+        need, plain = list(need.difference(known)), list(plain.difference(known))
         known.update(zip(need, self._library_ids(need)))
-        known.update((p, known[word] + known[mark]) for p, (word, mark) in parts.items())
+        known.update(zip(plain, self._ids_of_letters(plain)))
+        known.update((p, known[word] + known[mark] if mark else known[word]) for p, word, mark in parts)
         out = [b"".join(map(known.__getitem__, own)) + self.end for own in pieces]
-        for p in (*fresh, *need):
+        for p in (*new, *need, *plain):
             if len(p) > KEPT_CHARS:
                 known.pop(p, None)
         return out
