@@ -240,13 +240,14 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int, s
     return space.save(found.select("node", "text", "digest").mapInArrow(run, "node bigint, shingles binary").dropDuplicates(["node"]), name)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, space: Workspace, name: str) -> DataFrame:
     """Those of pairs(a, b) with 100 * intersection >= percent * union, on the full sets.
 
     Rows are dealt by pivot a and a copy number, each pivot's set ahead of its members',
     and compared as they stream by: one pivot's set is held at a time.
     """
-    per = pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("copies", F.ceil(F.col("n") / PER_PIVOT_COPY).cast("int"))
+    # Written first, so that a pivot's rows can be split in the joins.
+    per = space.save(pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("copies", F.ceil(F.col("n") / PER_PIVOT_COPY).cast("int")), f"{name}-pivots")
     members = pairs.join(per.select("a", "copies"), "a").selectExpr("a", "cast(pmod(xxhash64(b), copies) as int) copy", "b")
     members = members.join(sets, members.b == sets.node).selectExpr("a", "copy", "b", "shingles")
     pivots = per.join(sets, per.a == sets.node).selectExpr("a", "explode(sequence(0, copies - 1)) copy", "cast(null as bigint) b", "shingles")
@@ -354,7 +355,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     pairs = _likely(buckets.where("least <> node").selectExpr("least a", "node b").distinct(), nodes, floor, percent)
     pairs = space.save(pairs, "pairs")
     sets = _sets_of(docs, nodes, pairs.selectExpr("a node").unionAll(pairs.selectExpr("b node")).distinct(), words, space, "sets")
-    links = space.save(_verified(pairs, sets, percent), "links")
+    links = space.save(_verified(pairs, sets, percent, space, "pairs"), "links")
     space.drop("sets")
     comp = components(links, space, "linked")
     # Buckets that span more than one component; in one of two members the only pair has been looked at.
@@ -365,7 +366,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     if not left.isEmpty():
         sets = _sets_of(docs, nodes, left.select("node"), words, space, "open-sets").join(left, "node")
         pairs = space.save(_likely(_across(sets, percent, space), nodes, floor, percent), "open-pairs")
-        more = space.save(_verified(pairs, sets.select("node", "shingles"), percent), "open-links")
+        more = space.save(_verified(pairs, sets.select("node", "shingles"), percent, space, "open"), "open-links")
         space.drop("open-sets", "shared", "prefixes", "majors", "lists")
         # What is connected already stands as one link from each node to its component.
         comp = components(more.unionAll(comp.selectExpr("node a", "component b")), space, "joined")
