@@ -23,6 +23,7 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.ipc as ipc
 import regex
@@ -49,10 +50,6 @@ TOGETHER = 64
 #: Fixed value: marks a token that ends a word.
 WORD_END = "</w>"
 
-#: str.split() takes these for white space, the tokenizer does not.
-_SEPARATORS = regex.compile(r"[\x1c-\x1f]").search
-#: White space for both.
-_CHUNKS = regex.compile(r"[^ \t\n\r]+").findall
 #: Marks that end many chunks; after letters they are words of their own to the tokenizer.
 _MARKS = ".,!?:;"
 
@@ -84,7 +81,7 @@ def _library(path: str) -> Tokenizer:
 class Encoder:
     """Ids of texts by the tokenizers library, called once for each distinct chunk.
 
-    Where splits_at_blanks(), the normaliser and the split never look across plain
+    Where splits_at_blanks(), the normaliser and the split never look across ASCII
     white space, which itself gives no ids, so a text's ids are those of its chunks in
     turn. With any other vocabulary the library gets whole texts.
     """
@@ -118,24 +115,22 @@ class Encoder:
                 out += self._library_ids(own)
         return out
 
-    def __call__(self, batch: list[str]) -> list[bytes]:
-        """Each text's ids, packed little-endian in id_type, the end id last."""
-        if not self.by_chunk:
-            return [ids + self.end for ids in self._library_ids(batch)]
+    def _learn(self, chunks: list[str]) -> list[bytes]:
+        """The ids of distinct chunks, kept for the batches to come."""
         if len(self.known) > KEPT_CHUNKS:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        pieces = [_CHUNKS(t) if _SEPARATORS(t) else t.split() for t in batch]
-        new = set().union(*pieces).difference(known)
+        new = [p for p in chunks if p not in known]
         if older:
             known.update((p, older[p]) for p in new if p in older)
-            new.difference_update(known)
+            new = [p for p in new if p not in known]
         parts: list[tuple[str, str, str]] = []  # chunks, their letters (in lower case where that is plain) and mark
         plain: set[str] = set()
         need: set[str] = set()
         for p in new:
-            word, mark = (p, "") if p.isalpha() else (p[:-1], p[-1])
-            if mark and mark not in _MARKS or not _letters(word):
+            whole = p.isalpha()
+            word, mark = (p, "") if whole else (p[:-1], p[-1:])
+            if mark and mark not in _MARKS or not (whole and p.isascii() or _letters(word)):
                 need.add(p)
                 continue
             if word.isascii():
@@ -143,18 +138,52 @@ class Encoder:
             plain.add(word)
             if mark:
                 need.add(mark)
-            if word != p:
+                parts.append((p, word, mark))
+            elif word != p:
                 parts.append((p, word, mark))
         need, plain = list(need.difference(known)), list(plain.difference(known))
         known.update(zip(need, self._library_ids(need)))
         known.update(zip(plain, self._ids_of_letters(plain)))
         known.update((p, known[word] + known[mark] if mark else known[word]) for p, word, mark in parts)
-        out = [b"".join(map(known.__getitem__, own)) + self.end for own in pieces]
-        for p in (*new, *need, *plain):
-            if len(p) > KEPT_CHARS:
-                known.pop(p, None)
+        out = list(map(known.__getitem__, chunks))
+        if max(map(len, new), default=0) > KEPT_CHARS:
+            for p in (*new, *need, *plain):
+                if len(p) > KEPT_CHARS:
+                    known.pop(p, None)
         return out
 
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids one after the other, the end id after each text's; and how many each text has. Null is empty.
+
+        Chunks are numbered in Arrow, so each distinct one is looked up once for a batch.
+        """
+        if not self.by_chunk:
+            packed = [ids + self.end for ids in self._library_ids(texts(column))]
+            sizes = np.array([len(p) for p in packed], np.int64) // np.dtype(self.id_type).itemsize
+            return np.frombuffer(b"".join(packed), self.id_type), sizes
+        split = pc.ascii_split_whitespace(column.fill_null(""))
+        coded = split.flatten().dictionary_encode()
+        values = self._learn(coded.dictionary.to_pylist())
+        values.append(self.end)
+        lens = np.array([len(v) for v in values], np.int64) // np.dtype(self.id_type).itemsize
+        pool, starts = np.frombuffer(b"".join(values), self.id_type), np.cumsum(lens) - lens
+        bounds = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
+        # The end counts as one more chunk of each text.
+        which = np.insert(coded.indices.to_numpy(zero_copy_only=False), bounds[1:], len(values) - 1)
+        n = lens[which]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        kind = np.int32 if max(total, len(pool)) < 1 << 31 else np.int64
+        at = np.repeat((starts[which] - (ends - n)).astype(kind), n)
+        at += np.arange(total, dtype=kind)
+        text_ends = ends[bounds[1:] + np.arange(len(bounds) - 1)] if len(bounds) > 1 else np.zeros(0, np.int64)
+        return pool[at], np.diff(text_ends, prepend=0)
+
+    def __call__(self, batch: list[str]) -> list[bytes]:
+        """Each text's ids, packed little-endian in id_type, the end id last."""
+        flat, sizes = self.encode(pa.array(batch, pa.string()))
+        return [x.tobytes() for x in np.split(flat, np.cumsum(sizes)[:-1])] if batch else []
+
 
 @cache
 def _encoder(path: str) -> Encoder:
@@ -182,18 +211,17 @@ class _Writer:
         self.data, self.index = ipc.new_file(self.outs[0], self.layout), ipc.new_file(self.outs[1], _INDEX)
         self.held, self.n_held, self.total = [], 0, 0
 
-    def add(self, doc_ids: pa.Array, packed: list[bytes]) -> None:
-        sizes = np.array([len(x) for x in packed], np.int64) // np.dtype(self.id_type).itemsize
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
         starts = self.total + np.cumsum(sizes) - sizes
         self.index.write_batch(pa.RecordBatch.from_arrays([doc_ids, pa.array(starts), pa.array(sizes)], schema=_INDEX))
-        self.held += packed
-        self.n_held += int(sizes.sum())
-        self.total += int(sizes.sum())
+        self.held.append(ids)
+        self.n_held += len(ids)
+        self.total += len(ids)
         if self.n_held >= self.length * BATCH_SEQUENCES:
             self._flush(last=False)
 
     def _flush(self, last: bool) -> None:
-        flat = np.frombuffer(b"".join(self.held), self.id_type)
+        flat = np.concatenate(self.held) if self.held else np.zeros(0, self.id_type)
         step = self.length * BATCH_SEQUENCES
         whole = len(flat) // step * step
         for at in range(0, whole, step):
@@ -202,7 +230,7 @@ class _Writer:
         if last and len(rest):
             self._batch(rest, -(-len(rest) // self.length) * self.length)
             rest = rest[:0]
-        self.held, self.n_held = [rest.tobytes()], len(rest)
+        self.held, self.n_held = [rest], len(rest)
 
     def _batch(self, ids: np.ndarray, room: int) -> None:
         padded, mask = np.zeros(room, self.id_type), np.zeros(room, bool)
@@ -244,7 +272,7 @@ def write_files(docs: DataFrame, folder: str, length: int = SEQUENCE, path: str
                 if writer is None:
                     part = batch.column(0)[0].as_py()
                     writer = _Writer(folder, part, length, coder.id_type)
-                writer.add(batch.column(1), coder(texts(batch.column(2))))
+                writer.add(batch.column(1), *coder.encode(batch.column(2)))
         if writer is not None:
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "n_tokens": pa.array([writer.close()], pa.int64())})
 
