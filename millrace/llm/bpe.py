@@ -25,7 +25,7 @@ from .common import arrow_limits, only, texts
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 #: Encoded pre-tokens that a worker keeps between batches; beyond it only those that come again are carried on.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 #: Longer pre-tokens are encoded but not kept.
 KEPT_BYTES = 64
 

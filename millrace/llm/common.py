@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows and bytes that one Arrow batch of whole texts may hold; keeps Python workers small.
-BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 
 #: A side of at most so many narrow rows (tens of bytes each) may be broadcast, after a count.
 BROADCAST_ROWS = 500_000

@@ -39,7 +39,7 @@ STEP, FACTOR_STEP, FROM, FACTOR_FROM, L1, L2, ROWS = 0.3, 0.1, 1e-6, 1e-2, 2e-5,
 #: A score from which on a document counts as toxic.
 THRESHOLD = 0.7
 #: Words whose terms a worker keeps; beyond it starts anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 
 _words = re.compile(r"\w+").findall
 
