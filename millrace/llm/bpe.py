@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import arrow_limits, only, texts
+from .common import arrow_limits, only, take_over, texts
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -189,6 +189,12 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
+def forget() -> None:
+    """Drops the vocabularies and pre-tokens that a worker keeps."""
+    for kept in (encoder, merges, ranks, tokens):
+        kept.cache_clear()
+
+
 def decode(ids: np.ndarray, path: str) -> bytes:
     """The bytes that the ids stand for."""
     return b"".join(map(tokens(path).__getitem__, ids.tolist()))
@@ -208,6 +214,7 @@ def encode_documents(docs: DataFrame, keep_ids: bool = True, path: str | None =
     path = path or public_tokenizers.path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("bpe", forget)
         coder = encoder(path, pattern)
         for batch in batches:
             rows = []

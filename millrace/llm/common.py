@@ -7,6 +7,7 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
@@ -46,6 +47,17 @@ def arrow_limits(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+_holders: list[tuple[str, Callable[[], None]]] = []
+
+
+def take_over(owner: str, release: Callable[[], None] = lambda: None) -> None:
+    """Called where a task begins in a Python worker. Workers serve one operator after another; what the one before kept there goes."""
+    if _holders and _holders[0][0] != owner:
+        _holders.pop()[1]()
+    if not _holders:
+        _holders.append((owner, release))
+
+
 class Workspace:
     """Tables written to the shared folder; they cut lineage and survive lost executors.
 

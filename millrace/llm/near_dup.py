@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, Workspace, arrow_limits, mix64, only
+from .common import BROADCAST_ROWS, Workspace, arrow_limits, mix64, only, take_over
 from .components import components
 
 #: Bands and registers of each: at similarity 0.8 no band agrees with probability 4e-7.
@@ -184,6 +184,7 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n_shingles, digest, sketch (null for an empty set) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("near-dup")
         for batch in batches:
             sets = shingle_sets(batch.column(1), words)
             yield pa.RecordBatch.from_arrays(

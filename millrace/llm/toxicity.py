@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, arrow_limits, is_held_out, only, texts
+from .common import Workspace, arrow_limits, is_held_out, only, take_over, texts
 
 #: Hashed terms.
 BUCKETS = 1 << 20
@@ -176,6 +176,7 @@ def _sample(docs: DataFrame, labels: DataFrame, space: Workspace) -> DataFrame:
     chosen = space.save(parts[0].unionAll(parts[1]), "chosen")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("toxicity")
         find = Terms()
         for batch in batches:
             found = [np.array(find(t), np.uint32).tobytes() for t in texts(batch.column(1))]
@@ -235,6 +236,7 @@ def score(docs: DataFrame, chosen: dict[int, int], machine: Machine) -> DataFram
     arrow_limits(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("toxicity")
         find = Terms(chosen)
         for batch in batches:
             rows = [find(t) for t in texts(batch.column(1))]
@@ -252,6 +254,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("toxicity")
         find = Terms(chosen)
         for batch in batches:
             rows = [find(t) for t in texts(batch.column(place))]
