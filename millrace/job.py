@@ -48,15 +48,16 @@ def pipeline_of(config: dict) -> ingest.Pipeline:
 
 
 def start(spark: SparkSession, config: dict, once: bool = False, reason: Column | None = None) -> StreamingQuery:
-    """Starts the job; once: what is there now, then it ends."""
+    """Starts the job; once: what is there now, then it ends. Dead letters end it only at a limit that its settings name."""
     local, retry = config["storage"]["local"], config["retry"]
     manager = StorageManager(spark, local["base_path"], local, compatibility=config["schema"]["compatibility"])
     own = config["processing"]
     letters = ingest.DeadLetters(own["dead_letter_queue_path"], int(own.get("dead_letter_max_size_mb", 100)) << 20) if own.get("dead_letter_queue_path") else None
     trigger = None if once else {"processingTime": f"{config['checkpoint']['save_interval_sec']} seconds"}
     return ingest.start(
-        source_of(spark, config), pipeline_of(config), lambda df, n: manager.write(df, str(n)), config["checkpoint"]["storage_path"], reason, letters, retry["max_retries"], trigger, retry["initial_interval_ms"], retry["max_interval_ms"]
-    )
+        source_of(spark, config), pipeline_of(config), lambda df, n: manager.write(df, str(n)), config["checkpoint"]["storage_path"], reason, letters, retry["max_retries"], trigger, retry["initial_interval_ms"], retry["max_interval_ms"],
+        stop_when_full="dead_letter_max_size_mb" in own,
+    )
 
 
 def main(args: list[str]) -> int:

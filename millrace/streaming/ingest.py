@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import random
 import threading
 import time
@@ -20,6 +21,7 @@ from ..operators.transforms import Transform, apply_transforms
 from ..sources import paths
 
 Sink = Callable[[DataFrame, int], None]
+_log = logging.getLogger(__name__)
 
 
 def delay_ms(attempt: int, initial: int = 100, most: int = 10_000, jitter: float = 0.25) -> float:
@@ -75,18 +77,22 @@ def split(rows: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
     return marked.where("_reason is null").drop("_reason"), bad.withColumn("original_change", F.col("original_change").dropFields("_reason"))
 
 
+class Full(RuntimeError):
+    """A write to a dead-letter folder that holds its limit."""
+
+
 class DeadLetters:
-    """Dead letters as JSON lines under a folder, a part for each batch; at most max_bytes."""
+    """Dead letters as JSON lines under a folder, a part for each batch. A write is an error once the other parts hold max_bytes, unless it may go beyond."""
 
     def __init__(self, path: str, max_bytes: int = 100 << 20):
         self.path, self.max_bytes = path, max_bytes
 
-    def write(self, letters: DataFrame, batch: str | None = None) -> None:
-        """Writes a batch's letters; the same batch written again replaces them. Without a batch each write is one of its own."""
+    def write(self, letters: DataFrame, batch: str | None = None, beyond: bool = False) -> None:
+        """Writes a batch's letters; the same batch written again replaces them. Without a batch each write is one of its own. beyond: into a full folder too."""
         spark = letters.sparkSession
         name = f"batch={uuid.uuid4().hex if batch is None else batch}"
-        if [n for n in paths.children(spark, self.path) if n != name] and self.size(spark, but=name) >= self.max_bytes:
-            raise RuntimeError("the dead-letter folder is full")
+        if not beyond and [n for n in paths.children(spark, self.path) if n != name] and self.size(spark, but=name) >= self.max_bytes:
+            raise Full("the dead-letter folder is full")
         letters.write.mode("overwrite").json(f"{self.path}/{name}")
 
     def read(self, spark, schema: str | None = None) -> DataFrame:
@@ -106,19 +112,30 @@ class DeadLetters:
         paths.delete(spark, self.path)
 
 
-def start(changes: DataFrame, pipeline: Pipeline, sink: Sink, checkpoint: str, reason: Column | None = None, dead_letters: DeadLetters | None = None, retries: int = 3, trigger: dict | None = None, initial_ms: int = 100, most_ms: int = 10_000) -> StreamingQuery:
+def start(changes: DataFrame, pipeline: Pipeline, sink: Sink, checkpoint: str, reason: Column | None = None, dead_letters: DeadLetters | None = None, retries: int = 3, trigger: dict | None = None, initial_ms: int = 100, most_ms: int = 10_000, stop_when_full: bool = False) -> StreamingQuery:
     """Runs the pipeline over a stream. Each batch goes to sink(rows, batch id) under retry.
 
     Offsets are saved in `checkpoint` after a batch is written, so a restart repeats at
     most the last batch, under the same id. Dead letters replace what their id wrote;
     sinks that do the same are exact. With dead letters, a batch whose sink fails to
-    the last attempt becomes dead letters too, and the stream goes on.
+    the last attempt becomes dead letters too, and the stream goes on. It also goes on
+    when their folder is full: all letters are kept, with a warning for each batch. With
+    stop_when_full it ends by an error before that batch is committed.
     """
     stopped = threading.Event()
 
     def attempt(action: Callable[[], None]) -> None:
         with_retry(action, retries, initial_ms, most_ms, lambda s: stopped.wait(s) and None, stopped.is_set)
 
+    def keep(bad: DataFrame, batch: str) -> None:
+        try:
+            dead_letters.write(bad, batch)
+        except Full:
+            if stop_when_full:
+                raise
+            _log.warning("%s: beyond its %d bytes by the letters of batch %s", dead_letters.path, dead_letters.max_bytes, batch)
+            dead_letters.write(bad, batch, beyond=True)
+
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
@@ -133,7 +150,7 @@ def start(changes: DataFrame, pipeline: Pipeline, sink: Sink, checkpoint: str, r
                 lost = as_letters(good, F.lit(f"{type(e).__name__}: {e}"[:500]), max(0, retries))
                 bad = lost if bad is None else lost.unionByName(bad)
             if dead_letters is not None and bad is not None and not bad.isEmpty():
-                attempt(lambda: dead_letters.write(bad, str(batch_id)))
+                attempt(lambda: keep(bad, str(batch_id)))
         finally:
             batch.unpersist()
 

@@ -115,6 +115,47 @@ def test_dead_letters_survive_a_failure_before_the_commit(spark, sf, tmp_path):
     assert got.where("timestamp is null or retry_count <> 0 or failure_reason <> 'fourth'").isEmpty()
 
 
+def test_full_dead_letters_end_no_stream(spark, sf, tmp_path):
+    """Every run after the first meets a full folder: good rows and letters are all there, once; a repeated batch replaces its letters."""
+    rows = Q.table(spark, sf, "events").select("event_id", "value")
+    letters = ingest.DeadLetters(f"file://{tmp_path}/dead", 10)
+    sink = lambda df, n: df.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={n}")
+    run = lambda: ingest.start(spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in"), ingest.Pipeline(), sink, f"{tmp_path}/cp", F.when(F.col("event_id") % 4 == 0, F.lit("fourth")), letters).awaitTermination()
+    for part in range(3):
+        rows.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{tmp_path}/in")
+        run()
+    (tmp_path / "cp/commits/2").unlink()
+    (tmp_path / "cp/commits/.2.crc").unlink(missing_ok=True)
+    run()
+    good, bad = spark.read.parquet(f"{tmp_path}/out"), letters.read(spark)
+    assert paths.children(spark, letters.path) == [f"batch={n}" for n in range(3)]
+    assert sorted(r[0] for r in good.select("event_id").collect()) == [n for n in range(1000) if n % 4]
+    assert sorted(r[0] for r in bad.select("original_change.event_id").collect()) == list(range(0, 1000, 4))
+
+
+def test_a_limit_in_the_settings_stops_the_job(spark, sf, tmp_path):
+    """Before the batch is committed; once the folder is cleared, the job goes on with that batch."""
+    ch = Q.event_changes(spark, sf).withColumns({i: F.when(F.col(i).isNotNull(), F.struct(f"{i}.event_id", f"{i}.value")) for i in ("before", "after")})
+    settings = {
+        "source": {"type": "file", "file": {"path": f"file://{tmp_path}/in", "image_schema": "event_id: bigint, value: double"}},
+        "storage": {"local": {"base_path": f"file://{tmp_path}/out"}},
+        "checkpoint": {"storage_path": f"file://{tmp_path}/cp"},
+        "processing": {"dead_letter_queue_path": f"file://{tmp_path}/dead", "dead_letter_max_size_mb": 0},
+        "retry": {"max_retries": 0},
+    }
+    letters = ingest.DeadLetters(f"file://{tmp_path}/dead")
+    run = lambda: job.start(spark, config.from_dict(settings), True, F.when(F.col("id").cast("int") % 4 == 0, F.lit("fourth"))).awaitTermination()
+    ch.where("id % 2 = 0").write.json(f"{tmp_path}/in")
+    run()
+    ch.where("id % 2 = 1").unionAll(ch.where("id = 4")).write.mode("append").json(f"{tmp_path}/in")
+    with pytest.raises(Exception, match="folder is full"):
+        run()
+    assert letters.count(spark) == 250
+    letters.clear(spark)
+    run()
+    assert [r[0] for r in letters.read(spark).select("original_change.id").collect()] == ["4"]
+
+
 def test_stop_ends_waiting_retries(spark, sf, tmp_path):
     """A stream whose sink keeps failing is stopped within its time; nothing is committed, so nothing is lost."""
     rows = Q.table(spark, sf, "region")
